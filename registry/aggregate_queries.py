@@ -148,9 +148,9 @@ def _gap_sql(interval: str, fill: str) -> str:
         for c in ("avg", "min", "max", "first", "last")
     )
     return f"""SELECT bucket, entity_id, coalesce(count, 0) AS count, {carried}
-    FROM (SELECT DISTINCT entity_id FROM records WHERE {_RANGE}),
+    FROM (SELECT * FROM (SELECT DISTINCT entity_id FROM records WHERE {_RANGE}),
          (SELECT unnest(generate_series(time_bucket(INTERVAL '{interval}', TIMESTAMP '{START}'),
-                 TIMESTAMP '{END}' - INTERVAL 1 MICROSECOND, INTERVAL '{interval}')) AS bucket)
+                 TIMESTAMP '{END}' - INTERVAL 1 MICROSECOND, INTERVAL '{interval}')) AS bucket)) grid
     LEFT JOIN (
         SELECT time_bucket(INTERVAL '{interval}', time) AS bucket, entity_id, count(value) AS count,
                avg(value) AS avg, min(value) AS min, max(value) AS max,
