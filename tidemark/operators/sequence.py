@@ -8,7 +8,7 @@ a map-side aggregate, and enters the slice as extra rows ahead of its own. The
 data itself is shuffled once, by (key, slice).
 
 Keys with at most ``max_rows`` rows stay in one slice and need no carried rows.
-The tables of hot keys and hot hours have at most ``rows / max_rows`` entries
+The tables of hot keys and hot minutes have at most ``rows / max_rows`` entries
 each, which bounds what is broadcast.
 """
 
@@ -19,9 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 4_000_000
-_HOUR = 3_600_000_000
-_MAX_PARTS = 1_000_000
+HOT_ROWS = 8_000_000
+_MINUTE = 60_000_000
 _GROUP_LIMIT = 1000
 _SALTS = 256
 
@@ -32,35 +31,38 @@ def with_slices(
     time: str = "time",
     max_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``_slice``: NULL for an ordinary key, an ascending time slice for a hot one.
+    """Add ``_hot`` and, for hot keys, ``_slice``: an ascending number per time slice.
 
-    A hot key is sliced by hour; an hour of it that is itself too full is cut
-    further, in as many equal spans as its row count asks for.
+    A hot key is sliced by minute, and an over-full minute of it into as many
+    equal spans as its rows ask for. All of this rests on exact counts, so a
+    recomputed branch cuts the same slices. Where no key is hot, all that runs
+    is one count per key: adaptive execution then drops the empty branches.
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(time))
-    hour = F.floor(micros / F.lit(_HOUR))
-    hourly = df.groupBy(*keys, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_rows"))
-    hot_keys = (
-        hourly.groupBy(*keys)
-        .agg(F.sum("_rows").alias("_total"))
-        .filter(F.col("_total") > max_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    hot_hours = hourly.filter(F.col("_rows") > max_rows).select(
-        *keys,
-        "_hour",
-        F.least(F.ceil(F.col("_rows") / max_rows), F.lit(_MAX_PARTS)).alias("_parts"),
+    minute = F.floor(micros / F.lit(_MINUTE))
+    # Joins infer these null filters anyway, each its own; stated here they make
+    # every use of the hot keys the same plan, so that it is computed once.
+    present = df.select(*keys, time).dropna()
+
+    def over_full(rows: DataFrame, *by: str) -> DataFrame:
+        counted = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+        return counted.filter(F.col("_rows") > max_rows)
+
+    hot_keys = over_full(present, *keys).select(*keys, F.lit(True).alias("_hot"))
+    of_hot_keys = present.join(F.broadcast(hot_keys), keys).withColumn("_minute", minute)
+    hot_minutes = over_full(of_hot_keys, *keys, "_minute").select(
+        *keys, "_minute", F.least(F.ceil(F.col("_rows") / max_rows), F.lit(_MINUTE)).alias("_parts")
     )
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    inside = F.pmod(micros, F.lit(_HOUR))
-    slot = F.col("_hour") * _MAX_PARTS + F.floor(inside * parts / F.lit(_HOUR))
+    part = F.floor(F.pmod(micros, F.lit(_MINUTE)) * parts / F.lit(_MINUTE))
+    start = F.col("_minute") * _MINUTE + part * F.floor(F.lit(_MINUTE) / parts)
     return (
-        df.withColumn("_hour", hour)
+        df.withColumn("_minute", minute)
         .join(F.broadcast(hot_keys), keys, "left")
-        .join(F.broadcast(hot_hours), [*keys, "_hour"], "left")
-        .withColumn("_slice", F.when(F.col("_hot"), slot))
-        .drop("_hour", "_hot", "_parts")
+        .join(F.broadcast(hot_minutes), [*keys, "_minute"], "left")
+        .withColumn("_slice", F.when(F.col("_hot"), start))
+        .drop("_minute", "_parts")
     )
 
 
@@ -81,7 +83,7 @@ def with_previous(
     sliced = with_slices(df, keys, time, max_rows)
     row = F.struct(*columns)
     tails = (
-        sliced.filter(F.col("_slice").isNotNull())
+        sliced.filter(F.col("_hot"))
         .groupBy(*keys, "_slice")
         .agg(F.max_by(row, F.struct(*order)).alias("_tail"))
     )
@@ -96,7 +98,7 @@ def with_previous(
         current.unionByName(entering, allowMissingColumns=True)
         .withColumn("previous", F.lag("_tail").over(inside))
         .filter(~F.col("_carried"))
-        .drop("_slice", "_tail", "_carried")
+        .drop("_slice", "_hot", "_tail", "_carried")
     )
 
 
@@ -115,13 +117,13 @@ def with_history(
     """
     keys, order = list(keys), [time, *tie]
     sliced = with_slices(df, keys, time, max_rows)
-    columns = sliced.columns
+    columns = [c for c in sliced.columns if c != "_hot"]
     newest_first = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        sliced.filter(F.col("_slice").isNotNull())
+        sliced.filter(F.col("_hot"))
         .withColumn("_rank", F.row_number().over(newest_first))
         .filter(F.col("_rank") <= rows)
-        .drop("_rank")
+        .drop("_rank", "_hot")
     )
     in_order = Window.partitionBy(*keys).orderBy(*order)
     entering = (
@@ -137,7 +139,7 @@ def with_history(
         .select(*keys, "_slice", F.inline("_rows"))
         .select(*columns)
     )
-    arranged = sliced.withColumn("_carried", F.lit(False)).unionByName(
+    arranged = sliced.drop("_hot").withColumn("_carried", F.lit(False)).unionByName(
         entering.withColumn("_carried", F.lit(True))
     )
     return arranged, [*keys, "_slice"], [F.col(c).asc() for c in order]
