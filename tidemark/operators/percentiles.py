@@ -47,52 +47,61 @@ def group_with_percentiles(
         *others, *[F.percentile(ordinary, q).alias(name) for name, q in wanted.items()]
     )
     hot_rows = marked.filter(F.col("_n").isNotNull() & F.col(value).isNotNull())
-    for name, q in wanted.items():
-        exact = _bracketed(hot_rows, keys, value, q).withColumnRenamed("_exact", f"_{name}")
-        result = _join_safe(result, F.broadcast(exact), keys, "left").withColumn(
-            name, F.coalesce(F.col(f"_{name}"), F.col(name))
-        ).drop(f"_{name}")
-    return result.drop("_all")
+    exact = _bracketed(hot_rows.select(*keys, value, "_n"), keys, value, wanted)
+    joined = _join_safe(result, F.broadcast(exact), keys, "left")
+    chosen = {name: F.coalesce(F.col(f"_exact_{name}"), F.col(name)) for name in wanted}
+    return joined.withColumns(chosen).drop("_all", *[f"_exact_{name}" for name in wanted])
 
 
-def _bracketed(rows: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
-    """Exact percentile of large groups; ``_n`` holds each group's row count."""
-    low, high = max(0.0, q - _MARGIN), min(1.0, q + _MARGIN)
+def _bracketed(
+    rows: DataFrame, keys: list[str], value: str, wanted: Mapping[str, float]
+) -> DataFrame:
+    """Exact percentiles of large groups; ``_n`` holds each group's row count."""
+    limits = [(max(0.0, q - _MARGIN), min(1.0, q + _MARGIN)) for q in wanted.values()]
     ends = rows.groupBy(*keys).agg(
-        F.percentile_approx(value, [low, high], _ACCURACY).alias("_ends"),
+        F.percentile_approx(value, [p for pair in limits for p in pair], _ACCURACY).alias("_ends"),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
     )
     # At either end of the order the sketch is replaced by the true extreme.
-    bracket = ends.select(
-        *keys,
-        (F.col("_ends")[0] if low > 0 else F.col("_min")).alias("_low"),
-        (F.col("_ends")[1] if high < 1 else F.col("_max")).alias("_high"),
-    )
-    placed = _join_safe(rows.select(*keys, value, "_n"), F.broadcast(bracket), keys, "inner")
-    below = placed.groupBy(*keys).agg(F.count_if(F.col(value) < F.col("_low")).alias("_below"))
+    brackets = [
+        F.struct(
+            F.lit(name).alias("_name"),
+            F.lit(q).alias("_q"),
+            (F.col("_ends")[2 * i] if low > 0 else F.col("_min")).alias("_low"),
+            (F.col("_ends")[2 * i + 1] if high < 1 else F.col("_max")).alias("_high"),
+        )
+        for i, ((name, q), (low, high)) in enumerate(zip(wanted.items(), limits, strict=True))
+    ]
+    bracket = ends.select(*keys, F.inline(F.array(*brackets)))
+    placed = _join_safe(rows, F.broadcast(bracket), keys, "inner")
+    per = [*keys, "_name"]
+    below = placed.groupBy(*per).agg(F.count_if(F.col(value) < F.col("_low")).alias("_below"))
     counted = (
         placed.filter(F.col(value).between(F.col("_low"), F.col("_high")))
-        .groupBy(*keys, "_n", value)
+        .groupBy(*per, "_q", "_n", value)
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _join_safe(counted, F.broadcast(below), keys, "inner").withColumn(
+    upto = Window.partitionBy(*per).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _join_safe(counted, F.broadcast(below), per, "inner").withColumn(
         "_upto", F.col("_below") + F.sum("_count").over(upto)
     )
-    position = F.lit(q) * (F.col("_n") - 1)
+    position = F.col("_q") * (F.col("_n") - 1)
     lower, upper = F.floor(position), F.ceil(position)
-    picked = ranked.groupBy(*keys, "_n", "_below").agg(
+    picked = ranked.groupBy(*per, "_q", "_n", "_below").agg(
         F.min(F.when(F.col("_upto") > lower, F.col(value))).alias("_lower"),
         F.min(F.when(F.col("_upto") > upper, F.col(value))).alias("_upper"),
     )
     missed = (F.col("_below") > lower) | F.col("_lower").isNull() | F.col("_upper").isNull()
-    exact = F.col("_lower") + (F.col("_upper") - F.col("_lower")) * (position - lower)
-    return picked.select(
-        *keys,
-        F.when(missed, F.raise_error(F.lit("percentile bracket missed its rank")).cast("double"))
-        .otherwise(exact)
-        .alias("_exact"),
+    between = F.col("_lower") + (F.col("_upper") - F.col("_lower")) * (position - lower)
+    checked = F.when(
+        missed, F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")
+    ).otherwise(between)
+    return picked.withColumn("_exact", checked).groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("_name") == name, F.col("_exact"))).alias(f"_exact_{name}")
+            for name in wanted
+        ]
     )
 
 
