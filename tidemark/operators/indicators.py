@@ -51,14 +51,25 @@ def moving_averages(
     return page(result, ordered(order, "time", "entity_id"), limit, offset)
 
 
-def _newest(ticks: DataFrame, count: int, as_of: Instant, symbol: str | None) -> DataFrame:
-    known = pick(within(ticks, end=as_of, closed=True), symbol, key="symbol")
+def _newest(
+    ticks: DataFrame, count: int, as_of: Instant, symbol: str | None, since: Instant | None
+) -> DataFrame:
+    """Newest prices up to ``as_of``; ``since`` spares reading older history."""
+    known = pick(within(ticks, since, as_of, closed=True), symbol, key="symbol")
     return newest_rows(known.select("symbol", "time", "price"), ["symbol"], count)
 
 
-def sma(ticks: DataFrame, period: int, as_of: Instant, symbol: str | None = None) -> DataFrame:
+def sma(
+    ticks: DataFrame,
+    period: int,
+    as_of: Instant,
+    symbol: str | None = None,
+    *,
+    since: Instant | None = None,
+) -> DataFrame:
     """Mean of the newest ``period`` prices."""
-    return _newest(ticks, period, as_of, symbol).groupBy("symbol").agg(F.avg("price").alias("sma"))
+    newest = _newest(ticks, period, as_of, symbol, since)
+    return newest.groupBy("symbol").agg(F.avg("price").alias("sma"))
 
 
 def ema(
@@ -68,6 +79,7 @@ def ema(
     symbol: str | None = None,
     *,
     oldest_first: bool = False,
+    since: Instant | None = None,
 ) -> DataFrame:
     """Exponential average of the newest ``period`` prices, seeded with their mean.
 
@@ -78,7 +90,7 @@ def ema(
     weight = 2.0 / (period + 1)
     decay = F.lit(1.0 - weight)
     whole = Window.partitionBy("symbol")
-    rows = _newest(ticks, period, as_of, symbol).withColumn("_n", F.count(F.lit(1)).over(whole))
+    rows = _newest(ticks, period, as_of, symbol, since).withColumn("_n", F.count(F.lit(1)).over(whole))
     later = F.col("rank") - 1 if oldest_first else F.col("_n") - F.col("rank")
     return rows.groupBy("symbol").agg(
         (
@@ -89,7 +101,12 @@ def ema(
 
 
 def rsi(
-    ticks: DataFrame, as_of: Instant, period: int = 14, symbol: str | None = None
+    ticks: DataFrame,
+    as_of: Instant,
+    period: int = 14,
+    symbol: str | None = None,
+    *,
+    since: Instant | None = None,
 ) -> DataFrame:
     """Relative strength of gains against losses over the newest price changes.
 
@@ -98,7 +115,7 @@ def rsi(
     newest_first = Window.partitionBy("symbol").orderBy(F.col("time").desc())
     change = F.col("price") - F.lead("price").over(newest_first)
     changes = (
-        _newest(ticks, period + 2, as_of, symbol)
+        _newest(ticks, period + 2, as_of, symbol, since)
         .withColumn("_change", change)
         .filter(F.col("rank") <= period + 1)
     )
@@ -118,13 +135,18 @@ def rsi(
 
 
 def rsi_signal(
-    ticks: DataFrame, as_of: Instant, period: int = 14, symbol: str | None = None
+    ticks: DataFrame,
+    as_of: Instant,
+    period: int = 14,
+    symbol: str | None = None,
+    *,
+    since: Instant | None = None,
 ) -> DataFrame:
     """:func:`rsi` with its usual reading."""
     reading = (
         F.when(F.col("rsi") >= 70, "overbought").when(F.col("rsi") <= 30, "oversold")
     )
-    return rsi(ticks, as_of, period, symbol).withColumn(
+    return rsi(ticks, as_of, period, symbol, since=since).withColumn(
         "signal", F.when(F.col("rsi").isNotNull(), F.coalesce(reading, F.lit("neutral")))
     )
 
@@ -135,10 +157,12 @@ def bollinger(
     period: int = 20,
     deviations: float = 2.0,
     symbol: str | None = None,
+    *,
+    since: Instant | None = None,
 ) -> DataFrame:
     """Mean, bands around it, bandwidth, and where the newest price lies between them."""
     summary = (
-        _newest(ticks, period, as_of, symbol)
+        _newest(ticks, period, as_of, symbol, since)
         .groupBy("symbol")
         .agg(
             F.avg("price").alias("middle_band"),
@@ -205,15 +229,19 @@ def support_resistance(
     min_touches: int = 3,
     places: int = 2,
 ) -> DataFrame:
-    """Price levels touched often, above or below the newest price."""
-    known = pick(within(ticks, end=as_of, closed=True), symbol, key="symbol")
-    levels = (
-        within(known, back(as_of, days=days))
-        .groupBy("symbol", F.round("price", places).alias("price_level"))
-        .agg(F.count(F.lit(1)).alias("touch_count"))
-        .filter(F.col("touch_count") >= min_touches)
+    """Price levels touched often, above or below the newest price.
+
+    A symbol with levels has ticks in the window, so its newest price is there
+    too, and both come from one aggregate per level.
+    """
+    known = pick(within(ticks, back(as_of, days=days), as_of, closed=True), symbol, key="symbol")
+    touched = known.groupBy("symbol", F.round("price", places).alias("price_level")).agg(
+        F.count(F.lit(1)).alias("touch_count"),
+        F.max("time").alias("_time"),
+        F.max_by("price", "time").alias("_price"),
     )
-    current = known.groupBy("symbol").agg(F.max_by("price", "time").alias("current_price"))
+    current = touched.groupBy("symbol").agg(F.max_by("_price", "_time").alias("current_price"))
+    levels = touched.filter(F.col("touch_count") >= min_touches)
     above = F.col("price_level") > F.col("current_price")
     return levels.join(current, "symbol").select(
         "symbol",

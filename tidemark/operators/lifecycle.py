@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.instants import Instant, at, back, instant, within
@@ -42,20 +42,17 @@ COMPACTION = {
 KEEP_LOG_ROWS = 20
 
 
-def _day_is_over(days: float, as_of: Instant, time: str = "time") -> Column:
-    """True when the row's whole day ended at least ``days`` before ``as_of``."""
-    day_end = F.date_trunc("day", F.col(time)) + F.expr("interval 1 day")
-    return day_end <= at(back(as_of, days=days))
+def _first_kept_day(days: float, as_of: Instant) -> datetime:
+    """Start of the earliest day that is not over for at least ``days``.
 
-
-def _day_is_over_per_row(days: Column, as_of: Instant, time: str = "time") -> Column:
-    day_end = F.unix_micros(F.date_trunc("day", F.col(time))) + 86_400_000_000
-    return day_end <= F.unix_micros(at(as_of)) - days * 86_400_000_000
+    A constant, so the cut reaches the scan and prunes day partitions.
+    """
+    return back(as_of, days=days).replace(hour=0, minute=0, second=0, microsecond=0)
 
 
 def apply_retention(df: DataFrame, keep_days: float, as_of: Instant) -> DataFrame:
     """Rows whose day is not yet past the keeping time."""
-    return df.filter(~_day_is_over(keep_days, as_of))
+    return within(df, _first_kept_day(keep_days, as_of))
 
 
 def retention_by_symbol(
@@ -71,11 +68,11 @@ def retention_by_symbol(
     With ``chunk_semantics`` an old day goes as a whole as soon as it holds one
     matching row; the table of such days has one row per day.
     """
-    old = _day_is_over(days, as_of)
-    matching = old & F.col("symbol").like(pattern)
+    cutoff = _first_kept_day(days, as_of)
+    matching = F.col("symbol").like(pattern)
     if not chunk_semantics:
-        return ticks.filter(~matching)
-    marked = ticks.filter(matching).select(F.to_date("time").alias("_day")).distinct()
+        return ticks.filter((F.col("time") >= at(cutoff)) | ~matching)
+    marked = within(ticks, end=cutoff).filter(matching).select(F.to_date("time").alias("_day")).distinct()
     return ticks.join(F.broadcast(marked), F.to_date("time") == F.col("_day"), "left_anti")
 
 
@@ -87,10 +84,13 @@ def tiered_ohlc_retention(
     Intervals without a tier are kept. With ``chunk_semantics`` an expired bar
     takes its whole day along.
     """
-    keep = F.coalesce(
-        *[F.when(F.col("interval_duration") == code, F.lit(n)) for code, n in OHLC_KEEP_DAYS.items()]
+    cutoff = F.coalesce(
+        *[
+            F.when(F.col("interval_duration") == code, at(_first_kept_day(days, as_of)))
+            for code, days in OHLC_KEEP_DAYS.items()
+        ]
     )
-    expired = F.coalesce(_day_is_over_per_row(keep, as_of), F.lit(False))
+    expired = F.coalesce(F.col("time") < cutoff, F.lit(False))
     if not chunk_semantics:
         return bars.filter(~expired)
     marked = bars.filter(expired).select(F.to_date("time").alias("_day")).distinct()
@@ -137,8 +137,8 @@ def drop_expired_days(spark: SparkSession, path: str, keep_days: float, as_of: I
 
 
 def expired_days(spark: SparkSession, path: str, keep_days: float, as_of: Instant) -> list[date]:
-    cutoff = back(as_of, days=keep_days)
-    return [d for d in stored_days(spark, path) if instant(d) + timedelta(days=1) <= cutoff]
+    cutoff = _first_kept_day(keep_days, as_of)
+    return [d for d in stored_days(spark, path) if instant(d) < cutoff]
 
 
 def rewrite_days(

@@ -41,14 +41,14 @@ def group_with_percentiles(
         .agg(F.count(value).alias("_n"))
         .filter(F.col("_n") > max_rows)
     )
-    marked = _join_safe(df, F.broadcast(hot), keys, "left")
+    marked = _join_bounded(df, hot, keys, "left")
     ordinary = F.when(F.col("_n").isNull(), F.col(value))
     result = marked.groupBy(*keys).agg(
         *others, *[F.percentile(ordinary, q).alias(name) for name, q in wanted.items()]
     )
     hot_rows = marked.filter(F.col("_n").isNotNull() & F.col(value).isNotNull())
     exact = _bracketed(hot_rows.select(*keys, value, "_n"), keys, value, wanted)
-    joined = _join_safe(result, F.broadcast(exact), keys, "left")
+    joined = _join_bounded(result, exact, keys, "left")
     chosen = {name: F.coalesce(F.col(f"_exact_{name}"), F.col(name)) for name in wanted}
     return joined.withColumns(chosen).drop("_all", *[f"_exact_{name}" for name in wanted])
 
@@ -74,7 +74,7 @@ def _bracketed(
         for i, ((name, q), (low, high)) in enumerate(zip(wanted.items(), limits, strict=True))
     ]
     bracket = ends.select(*keys, F.inline(F.array(*brackets)))
-    placed = _join_safe(rows, F.broadcast(bracket), keys, "inner")
+    placed = _join_bounded(rows, bracket, keys, "inner")
     per = [*keys, "_name"]
     below = placed.groupBy(*per).agg(F.count_if(F.col(value) < F.col("_low")).alias("_below"))
     counted = (
@@ -83,7 +83,7 @@ def _bracketed(
         .agg(F.count(F.lit(1)).alias("_count"))
     )
     upto = Window.partitionBy(*per).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _join_safe(counted, F.broadcast(below), per, "inner").withColumn(
+    ranked = _join_bounded(counted, below, per, "inner").withColumn(
         "_upto", F.col("_below") + F.sum("_count").over(upto)
     )
     position = F.col("_q") * (F.col("_n") - 1)
@@ -105,8 +105,11 @@ def _bracketed(
     )
 
 
-def _join_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join on keys that may be NULL, keeping the left key columns."""
+def _join_bounded(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join on keys that may be NULL, keeping the left key columns.
+
+    The right side has a few rows per hot group and is broadcast.
+    """
     renamed = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )

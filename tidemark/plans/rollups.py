@@ -167,11 +167,7 @@ def ohlc_summary_1week(bars: DataFrame) -> DataFrame:
 
 
 def symbol_daily_stats(ticks: DataFrame) -> DataFrame:
-    """Everything about a symbol's day in one row.
-
-    Exchanges and sources are counted from the sets of distinct values, which
-    are few and combine on the map side, instead of a row expansion.
-    """
+    """Everything about a symbol's day in one row."""
     rows = ticks.withColumn("bucket", bucket("time", "1 day"))
     stats = rows.groupBy("bucket", "symbol").agg(
         F.count(F.lit(1)).alias("total_ticks"),
@@ -182,8 +178,8 @@ def symbol_daily_stats(ticks: DataFrame) -> DataFrame:
         F.sum(F.coalesce("volume", F.lit(0.0))).alias("total_volume"),
         first_by("price").alias("open_price"),
         last_by("price").alias("close_price"),
-        F.size(F.collect_set("exchange")).cast("bigint").alias("exchange_count"),
-        F.size(F.collect_set("data_source")).cast("bigint").alias("data_source_count"),
+        F.count_distinct("exchange").alias("exchange_count"),
+        F.count_distinct("data_source").alias("data_source_count"),
     )
     return stats.withColumns(
         {
@@ -279,8 +275,9 @@ class Rollup:
     """A named rollup and its refresh policy.
 
     A refresh as of a moment covers ``[moment - start, moment - end)``.
-    ``look_back`` marks rollups whose first bucket needs the row before it;
-    ``keep`` limits the source to rows not older than that.
+    ``look_back`` marks rollups whose first bucket needs the price before it, and
+    says how far back that is usually found; ``keep`` limits the source to rows
+    not older than that.
     """
 
     name: str
@@ -289,7 +286,7 @@ class Rollup:
     build: Callable[[DataFrame], DataFrame]
     start: timedelta
     end: timedelta
-    look_back: bool = False
+    look_back: timedelta | None = None
     keep: timedelta | None = None
 
 
@@ -331,7 +328,7 @@ ROLLUPS: dict[str, Rollup] = dict(
         _define("symbol_daily_stats", "price_ticks", "1d", symbol_daily_stats, "1 week", "1 day"),
         _define(
             "market_volatility_hourly", "price_ticks", "1h", market_volatility_hourly,
-            "1 day", "1 hour", look_back=True,
+            "1 day", "1 hour", look_back=timedelta(days=7),
         ),
     ]
 )
@@ -358,17 +355,36 @@ def compute_rollup(
 ) -> DataFrame:
     """The buckets of ``[start, end)``, both bucket boundaries.
 
-    A rollup that looks back gets, per symbol, the newest row before the range.
+    A rollup that looks back also gets, per symbol, the newest price before the
+    range.
     """
     rows = within(source, start, end)
-    if rollup.look_back:
-        columns = [c for c in source.columns if c not in ("symbol", "time", DAY)]
-        before = within(source, end=start).groupBy("symbol").agg(
-            F.max("time").alias("time"), *[last_by(c).alias(c) for c in columns]
+    if rollup.look_back is None:
+        return rollup.build(rows)
+    before = _newest_before(source, rows, start, rollup.look_back)
+    known = rows.drop(DAY).unionByName(before, allowMissingColumns=True)
+    return rollup.build(known).filter(F.col("bucket") >= at(start))
+
+
+def _newest_before(
+    source: DataFrame, rows: DataFrame, start: Instant, look_back: timedelta
+) -> DataFrame:
+    """Newest time and price before ``start`` of the symbols in ``rows``.
+
+    The days just before the range answer for most symbols. Only for the rest is
+    older history read; when there is no rest, adaptive execution skips it.
+    """
+
+    def newest(ticks: DataFrame) -> DataFrame:
+        return ticks.groupBy("symbol").agg(
+            F.max("time").alias("time"), last_by("price").alias("price")
         )
-        rows = rows.select("symbol", "time", *columns).unionByName(before)
-        return rollup.build(rows).filter(F.col("bucket") >= at(start))
-    return rollup.build(rows)
+
+    edge = instant(start) - look_back
+    recent = newest(within(source, edge, start))
+    missing = rows.select("symbol").distinct().join(recent, "symbol", "left_anti")
+    older = newest(within(source, end=edge).join(missing, "symbol", "left_semi"))
+    return recent.unionByName(older)
 
 
 def rollup_all(rollup: Rollup, source: DataFrame, as_of: Instant) -> DataFrame:
@@ -405,9 +421,10 @@ def refresh_rollup(
         outside = on_days(stored, touched).filter(
             (F.col("bucket") < at(low)) | (F.col("bucket") >= at(high))
         )
-        filled = set(days_of(within(source, low, high).select(bucket("time", rollup.width).alias("time"))))
-        kept_days = set(days_of(outside, "bucket"))
-        stale_days = [d for d in days if d not in filled and d not in kept_days]
+        if days:
+            starts = within(source, low, high).select(bucket("time", rollup.width).alias("time"))
+            filled = {*days_of(starts), *days_of(outside, "bucket")}
+            stale_days = [d for d in days if d not in filled]
         fresh = with_day(fresh, "bucket").unionByName(outside, allowMissingColumns=True)
     replace_days(fresh, path, time="bucket")
     drop_days(spark, path, stale_days)
