@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from registry.core import AS_OF, END, START, query
+from tidemark.functions.buckets import bucket
 from tidemark.operators import aggregates as agg
 from tidemark.operators import gaps, reports
+from tidemark.session import scratch_path
 from tidemark.sources.ingest import insert_aggregates
 from tidemark.sources.tables import load_aggregates
-from tidemark.session import scratch_path
 
 _RANGE = f"time >= TIMESTAMP '{START}' AND time < TIMESTAMP '{END}'"
 _CLOSED = f"time >= TIMESTAMP '{START}' AND time <= TIMESTAMP '{END}'"
@@ -27,6 +28,35 @@ def _bucket_sql(interval: str, table: str = "records", where: str = _RANGE) -> s
     )
 
 
+_WIDTHS = {
+    "minute": "1 minute",
+    "five_minutes": "5 minutes",
+    "hour": "1 hour",
+    "seven_hours": "7 hours",
+    "day": "1 day",
+    "week": "7 days",
+    "ten_days": "10 days",
+    "month": "1 month",
+    "quarter": "3 months",
+    "year": "1 year",
+}
+
+
+@query(
+    "bucket",
+    "SELECT time, entity_id, order_key, "
+    + ", ".join(f"time_bucket(INTERVAL '{w}', time) AS {n}" for n, w in _WIDTHS.items())
+    + " FROM order_records",
+)
+def _(t):
+    return t.order_records.select(
+        "time",
+        "entity_id",
+        "order_key",
+        *[bucket("time", width).alias(name) for name, width in _WIDTHS.items()],
+    )
+
+
 @query("time_bucket_agg", _bucket_sql("1 hour"), _BUCKET_NUMBERS)
 def _(t):
     return agg.time_bucket_agg(t.records, "1 hour", START, END)

@@ -56,6 +56,26 @@ def ticks_of(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_of(events: DataFrame) -> DataFrame:
+    """Records as untyped text, some of them broken."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    prefix = F.when(F.col("event_type") == "error", "User ").otherwise("User_")
+    return events.select(
+        F.when(k == 0, "unknown").otherwise(text).alias("time"),
+        F.concat(prefix, F.col("user_id")).alias("entity_id"),
+        F.when(k == 1, "n/a")
+        .when(k == 2, "NaN")
+        .when(k == 4, "Infinity")
+        .otherwise(F.format_string("%.2f", "value"))
+        .alias("value"),
+        k.cast("string").alias("value2"),
+        F.lit(None).cast("string").alias("value3"),
+        F.lit(None).cast("string").alias("value4"),
+        F.when(k == 3, "[]").otherwise(F.col("props")).alias("metadata"),
+    )
+
+
 class Tables:
     """Lazily built views over one test folder."""
 
@@ -174,24 +194,7 @@ class Tables:
 
     @cached_property
     def raw_records(self) -> DataFrame:
-        """Records as untyped text, some of them broken."""
-        k = F.get_json_object("props", "$.k").cast("int")
-        text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return self.events.select(
-            F.when(k == 0, "unknown").otherwise(text).alias("time"),
-            F.concat(
-                F.when(F.col("event_type") == "error", "User ").otherwise("User_"), F.col("user_id")
-            ).alias("entity_id"),
-            F.when(k == 1, "n/a")
-            .when(k == 2, "NaN")
-            .when(k == 4, "Infinity")
-            .otherwise(F.format_string("%.2f", "value"))
-            .alias("value"),
-            k.cast("string").alias("value2"),
-            F.lit(None).cast("string").alias("value3"),
-            F.lit(None).cast("string").alias("value4"),
-            F.when(k == 3, "[]").otherwise(F.col("props")).alias("metadata"),
-        )
+        return raw_of(self.events)
 
 
 # The same views in SQL; a later one may use an earlier one.

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from registry.core import AS_OF, query
+from tidemark.functions.buckets import bucket
+from tidemark.plans.rollups import ohlc_from_ticks
 from tidemark.session import scratch_path
 from tidemark.sources import ingest, mappings, tables
 
@@ -95,8 +97,6 @@ _BAR_SQL = """SELECT time_bucket(INTERVAL '1 hour', time) AS time, symbol, '1h'
     "open high low close volume price_change price_change_percent",
 )
 def _(t):
-    from tidemark.plans.rollups import ohlc_from_ticks
-
     path = scratch_path(t.spark, "bars")
     bars = ohlc_from_ticks(t.price_ticks, "1 hour").withColumnRenamed("bucket", "time")
     ingest.insert_ohlc(bars.withColumn("interval_duration", F.lit("1h")), path)
@@ -106,6 +106,28 @@ def _(t):
     )
 
 
+@query(
+    "insert_aggregates",
+    """SELECT time_bucket(INTERVAL '1 hour', time) AS time, entity_id, '1h' AS interval_duration,
+           min(value) AS min_value, max(value) AS max_value, avg(value2) AS avg_value,
+           sum(value) AS sum_value, count(*) AS count, max(value) - min(value) AS value_range
+    FROM records GROUP BY 1, 2 HAVING avg(value2) BETWEEN min(value) AND max(value)""",
+    "min_value max_value avg_value sum_value value_range",
+)
+def _(t):
+    """The mean is taken from the other value, so that many rows break the rule."""
+    path = scratch_path(t.spark, "aggregates")
+    hourly = t.records.groupBy(bucket("time", "1 hour").alias("time"), "entity_id").agg(
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+        F.avg("value2").alias("avg_value"),
+        F.sum("value").alias("sum_value"),
+        F.count(F.lit(1)).alias("count"),
+    )
+    ingest.insert_aggregates(hourly.withColumn("interval_duration", F.lit("1h")), path)
+    return tables.load_aggregates(t.spark, path).drop("day", "data_source", "created_at")
+
+
 @query(
     "insert_if_absent",
     """SELECT DISTINCT upper(event_type) AS symbol FROM events

@@ -36,6 +36,16 @@ def _(t):
     return latest.multi_entity_latest(t.records, t.entities)
 
 
+@query(
+    "get_latest_values",
+    f"SELECT * FROM ({_LATEST.format(metadata='')}) "
+    "WHERE entity_id IN (SELECT entity_id FROM entities WHERE is_active)",
+    _NUMBERS,
+)
+def _(t):
+    return latest.get_latest_values(t.records, t.entities.filter("is_active"))
+
+
 @query(
     "multi_entity_latest_map",
     f"SELECT entity_id, value, value2, value3, value4, time FROM entities "

@@ -63,6 +63,24 @@ def _(t):
     return reads.get_multi_entity_records(t.records, t.entities.filter("is_active"), START, END)
 
 
+@query(
+    "get_multi_entity_data",
+    f"SELECT {_SHAPE}, metadata FROM records WHERE {_RANGE} "
+    "AND entity_id IN (SELECT entity_id FROM entities)",
+    _NUMBERS,
+)
+def _(t):
+    return reads.get_multi_entity_data(t.records, t.entities, START, END, include_metadata=True)
+
+
+@query(
+    "get_records_batches", f"SELECT {_SHAPE}, metadata FROM records WHERE {_RANGE}", _NUMBERS
+)
+def _(t):
+    """The frame the batches are cut from; the cutting is done by the consumer."""
+    return reads.get_records(t.records, START, END, include_metadata=True)
+
+
 @query(
     "get_records_by_entity_type",
     f"SELECT {_SHAPE} FROM records JOIN entities USING (entity_id) WHERE {_RANGE} "

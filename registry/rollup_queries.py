@@ -274,6 +274,32 @@ def _(t):
     return rollups.continuous_aggregate_read(t.spark, root, own.name, "2024-01-04", "2024-01-27")
 
 
+@query(
+    "create_rollup",
+    """SELECT * FROM (
+        SELECT time_bucket(INTERVAL '6 hours', time) AS bucket, entity_id, avg(value) AS avg_value,
+               max(value) AS max_value, min(value) AS min_value, count(*) AS record_count,
+               stddev_samp(value) AS stddev_value, avg(value2) AS avg_value2
+        FROM records GROUP BY 1, 2)
+    WHERE bucket >= TIMESTAMP '2024-01-01' AND bucket < TIMESTAMP '2024-01-30 18:00:00'""",
+    "avg_value max_value min_value stddev_value avg_value2",
+)
+def _(t):
+    root, registry = scratch_path(t.spark, "rollups"), {}
+    rollups.create_rollup(
+        "six_hourly",
+        "time_series_data",
+        "6 hours",
+        lambda records: rollups.entity_rollup(records, "6 hours"),
+        "1 month",
+        "6 hours",
+        registry,
+    )
+    sources = {"time_series_data": t.records}
+    rollups.refresh_due(t.spark, "2024-01-31 00:00:00", sources, root, registry=registry)
+    return t.spark.read.parquet(f"{root}/six_hourly").drop("day")
+
+
 @query(
     "route_rollup",
     _HOURLY_BARS.format(keys=", exchange, data_source"),

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from registry.core import query
-from registry.fixtures import records_of, ticks_of
+from registry.fixtures import raw_of, records_of, ticks_of
 from tidemark.operators.reads import SENSOR_LIMITS
+from tidemark.plans import rollups
 from tidemark.session import scratch_path
 from tidemark.sources import tables
 from tidemark.streaming import flows
@@ -33,6 +34,37 @@ def _(t):
     return tables.load_records(t.spark, path).drop("day", "metadata")
 
 
+@query(
+    "ingest_stream",
+    """SELECT CAST(time AS TIMESTAMP) AS time, entity_id, CAST(value AS DOUBLE) AS value
+    FROM raw_records WHERE entity_id NOT LIKE '% %' AND time <> 'unknown'
+      AND value NOT IN ('n/a', 'NaN', 'Infinity') AND metadata <> '[]'""",
+    "value",
+)
+def _(t):
+    path, rejects = scratch_path(t.spark, "records"), scratch_path(t.spark, "rejects")
+    state = scratch_path(t.spark, "state")
+    flows.run_available(
+        flows.stream_ingest(raw_of(_events(t)), path, state, rejects_path=rejects)
+    )
+    return tables.load_records(t.spark, path).select("time", "entity_id", "value")
+
+
+@query(
+    "get_ohlc_stream",
+    "SELECT time, symbol, data_source, open, high, low, close, volume FROM ohlc_data "
+    "WHERE interval_duration = '4h'",
+    "open high low close volume",
+)
+def _(t):
+    path = scratch_path(t.spark, "bars")
+    t.ohlc_data.write.parquet(path)
+    bars = flows.read_stream(t.spark, path, t.ohlc_data.schema)
+    return _collected(t, flows.get_ohlc_stream(bars, "4h")).select(
+        "time", "symbol", "data_source", "open", "high", "low", "close", "volume"
+    )
+
+
 @query(
     "stream_rollup",
     """SELECT time_bucket(INTERVAL '1 hour', time) AS bucket, symbol, exchange, data_source,
@@ -124,8 +156,6 @@ def _(t):
 )
 def _(t):
     """The stream leaves the newest buckets open; a batch refresh completes the table."""
-    from tidemark.plans import rollups
-
     path = scratch_path(t.spark, "rollup")
     done = _collected(t, flows.stream_rollup(ticks_of(_events(t)), "1 hour", "2 days"))
     tables.append_days(done, path, time="bucket")

@@ -34,6 +34,9 @@ def multi_entity_latest(
     )
 
 
+get_latest_values = multi_entity_latest
+
+
 def latest_record(records: DataFrame, entity: str | None = None) -> DataFrame:
     """Newest row of one entity, or of each."""
     return multi_entity_latest(records, entity, include_metadata=True)

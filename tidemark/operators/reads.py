@@ -74,6 +74,9 @@ def get_records_by_entity_type(
     return page(rows, ordered(order, "time", "entity_id"), limit, offset)
 
 
+get_multi_entity_data = get_multi_entity_records
+
+
 @dataclass(frozen=True)
 class Search:
     """Optional conditions of :func:`search_records`; all given ones must hold."""

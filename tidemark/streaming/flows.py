@@ -97,6 +97,12 @@ def stream_alerts(df: DataFrame, limits: Mapping[str, Bounds]) -> DataFrame:
     return threshold_alerts(df, limits)
 
 
+def get_ohlc_stream(bars: DataFrame, interval: str, symbol: str | None = None) -> DataFrame:
+    """Bars of one interval code as they arrive; no state."""
+    wanted = bars.filter(F.col("interval_duration") == interval)
+    return wanted if symbol is None else wanted.filter(F.col("symbol") == symbol)
+
+
 def stream_stale(records: DataFrame, minutes: int, lateness: str) -> DataFrame:
     """One row each time an entity has been silent for ``minutes`` of event time.
 
