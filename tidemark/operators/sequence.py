@@ -82,10 +82,15 @@ def with_previous(
     keys, order = list(keys), [time, *tie]
     sliced = with_slices(df, keys, time, max_rows)
     row = F.struct(*columns)
+    # One max_by per column stays a hash aggregate; over a struct it would sort.
+    newest = F.struct(*order) if tie else F.col(time)
     tails = (
         sliced.filter(F.col("_hot"))
         .groupBy(*keys, "_slice")
-        .agg(F.max_by(row, F.struct(*order)).alias("_tail"))
+        .agg(*[F.max_by(c, newest).alias(f"_last_{c}") for c in columns])
+        .select(
+            *keys, "_slice", F.struct(*[F.col(f"_last_{c}").alias(c) for c in columns]).alias("_tail")
+        )
     )
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     carried = tails.select(*keys, "_slice", F.lag("_tail").over(by_slice).alias("_tail")).filter(
