@@ -325,7 +325,7 @@ def test_duplicate_issue_counts(ticks):
     df = ticks(("2024-01-15 10:00", "A", 10.0, 1.0), ("2024-01-15 10:00", "A", 10.0), ("2024-01-15 10:00", "A", 10.0),
                ("2024-01-15 10:01", "A", 12.0), ("2024-01-15 10:02", "A", 0.0, 1.0), ("2024-01-15 10:03", "A", 5.0, 1.0))
     found = {r["issue_type"]: r["issue_count"] for r in quality.validate_ticks(df, *DAY).collect()}
-    assert found == {"duplicate_timestamps": 1, "large_price_gaps": 2, "missing_volume": 3, "invalid_prices": 1}
+    assert found == {"duplicate_timestamps": 1, "large_price_gaps": 3, "missing_volume": 3, "invalid_prices": 1}
 
 
 def test_top_changes_skip_zero_starts(records):

@@ -206,6 +206,8 @@ def test_compaction_and_report(spark, ticks, tmp_path):
     assert advice[1] == (6, 3, "compact") and advice[9][2] == "keep"
     text = lifecycle.partition_findings(report, "price_ticks").first()[0]
     assert text.splitlines()[0] == "price_ticks 2024-01-01: compact" and len(text.splitlines()) == 5
+    entry = lifecycle.maintenance_entry(report, "price_ticks", "2024-01-13").first()
+    assert entry["version"] == "maintenance_2024_01_13_00_00_00" and entry["description"] == text
     assert len(lifecycle.compact_partitions(spark, path, ["symbol"], 7, "2024-01-13")) == 5
     after = lifecycle.partition_report(spark.read.parquet(path), "2024-01-13", 7)
     assert {r["day"].day: r["file_count"] for r in after.collect()}[1] == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.instants import Instant, at, back, instant, within
@@ -210,13 +210,17 @@ def run_retention(
     return archived, kept_log.unionByName(run_log_row(spark, "retention_run_", note, as_of))
 
 
+def _version(prefix: str, as_of: Instant) -> Column:
+    stamp = F.date_format(at(as_of), "yyyy_MM_dd_HH_mm_ss")
+    return F.concat(F.lit(prefix), stamp).alias("version")
+
+
 def run_log_row(spark: SparkSession, prefix: str, note: str, as_of: Instant) -> DataFrame:
     """One row for the run log, versioned by its time."""
-    moment = instant(as_of)
     return spark.range(1).select(
-        F.concat(F.lit(prefix), F.date_format(at(moment), "yyyy_MM_dd_HH_mm_ss")).alias("version"),
+        _version(prefix, as_of),
         F.lit(note).alias("description"),
-        at(moment).alias("applied_at"),
+        at(as_of).alias("applied_at"),
         F.lit(None).cast("string").alias("applied_by"),
     )
 
@@ -277,3 +281,13 @@ def partition_findings(report: DataFrame, table: str) -> DataFrame:
         .otherwise(F.lit("nothing to do"))
         .alias("description")
     )
+
+
+def maintenance_entry(report: DataFrame, table: str, as_of: Instant) -> DataFrame:
+    """A run-log row that records the findings of :func:`partition_report`."""
+    return partition_findings(report, table).select(
+        _version("maintenance_", as_of),
+        "description",
+        at(as_of).alias("applied_at"),
+        F.lit(None).cast("string").alias("applied_by"),
+    )

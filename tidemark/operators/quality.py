@@ -227,11 +227,14 @@ def validate_ticks(
     )
     paired = with_previous(rows, ["symbol"], ["time", "price"], tie=tie, max_rows=max_rows)
     before = F.col("previous.price")
-    move = F.abs(ratio(F.col("price") - before, before))
+    # Any step away from zero is a large one.
+    jumped = F.when(before == 0, F.col("price") != 0).otherwise(
+        F.abs(ratio(F.col("price") - before, before)) > 0.1
+    )
     repeated = F.when(F.col("time") == F.col("previous.time"), F.col("time"))
     counted = paired.groupBy("symbol").agg(
         F.count_distinct(repeated).alias("duplicate_timestamps"),
-        F.count_if(move > 0.1).alias("large_price_gaps"),
+        F.count_if(jumped).alias("large_price_gaps"),
         F.count_if(F.col("volume").isNull()).alias("missing_volume"),
         F.count_if(F.col("price") <= 0).alias("invalid_prices"),
     )
