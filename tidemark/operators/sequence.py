@@ -8,7 +8,7 @@ a map-side aggregate, and enters the slice as extra rows ahead of its own. The
 data itself is shuffled once, by (key, slice).
 
 Keys with at most ``max_rows`` rows stay in one slice and need no carried rows.
-The tables of hot keys and hot minutes have at most ``rows / max_rows`` entries
+The tables of hot keys and over-full spans have at most ``rows / max_rows`` entries
 each, which bounds what is broadcast.
 """
 
@@ -33,36 +33,56 @@ def with_slices(
 ) -> DataFrame:
     """Add ``_hot`` and, for hot keys, ``_slice``: an ascending number per time slice.
 
-    A hot key is sliced by minute, and an over-full minute of it into as many
-    equal spans as its rows ask for. All of this rests on exact counts, so a
-    recomputed branch cuts the same slices. Where no key is hot, all that runs
-    is one count per key: adaptive execution then drops the empty branches.
+    A hot key is sliced into spans of so many minutes that, at its mean rate,
+    each holds a quarter of ``max_rows``. A span that is over-full nonetheless is
+    cut by minute, and its minutes into as many equal parts as the fullest asks
+    for. All of this rests on exact counts, so a recomputed branch cuts the same
+    slices. Where no key is hot, all that runs is one count per key: adaptive
+    execution then drops the empty branches.
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(time))
     minute = F.floor(micros / F.lit(_MINUTE))
+    span = F.floor(F.col("_minute") / F.col("_minutes"))
     # Joins infer these null filters anyway, each its own; stated here they make
     # every use of the hot keys the same plan, so that it is computed once.
-    present = df.select(*keys, time).dropna()
-
-    def over_full(rows: DataFrame, *by: str) -> DataFrame:
-        counted = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-        return counted.filter(F.col("_rows") > max_rows)
-
-    hot_keys = over_full(present, *keys).select(*keys, F.lit(True).alias("_hot"))
-    of_hot_keys = present.join(F.broadcast(hot_keys), keys).withColumn("_minute", minute)
-    hot_minutes = over_full(of_hot_keys, *keys, "_minute").select(
-        *keys, "_minute", F.least(F.ceil(F.col("_rows") / max_rows), F.lit(_MINUTE)).alias("_parts")
+    present = df.select(*keys, time).dropna().select(*keys, minute.alias("_minute"))
+    length = F.max("_minute") - F.min("_minute") + 1
+    hot_keys = (
+        present.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), length.alias("_length"))
+        .filter(F.col("_rows") > max_rows)
+        .select(
+            *keys,
+            F.lit(True).alias("_hot"),
+            F.greatest(
+                F.floor(F.col("_length") * max_rows / (F.col("_rows") * 4)), F.lit(1)
+            ).alias("_minutes"),
+        )
+    )
+    full_spans = (
+        present.join(F.broadcast(hot_keys), keys)
+        .groupBy(*keys, span.alias("_span"), "_minute")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .groupBy(*keys, "_span")
+        .agg(F.sum("_rows").alias("_rows"), F.max("_rows").alias("_most"))
+        .filter(F.col("_rows") > max_rows)
+        .select(
+            *keys,
+            "_span",
+            F.least(F.ceil(F.col("_most") / max_rows), F.lit(_MINUTE)).alias("_parts"),
+        )
     )
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    part = F.floor(F.pmod(micros, F.lit(_MINUTE)) * parts / F.lit(_MINUTE))
-    start = F.col("_minute") * _MINUTE + part * F.floor(F.lit(_MINUTE) / parts)
+    part = F.floor(F.pmod(micros, F.lit(_MINUTE)) * F.col("_parts") / F.lit(_MINUTE))
+    of_part = F.col("_minute") * _MINUTE + part * F.floor(F.lit(_MINUTE) / F.col("_parts"))
+    of_span = F.col("_span") * F.col("_minutes") * _MINUTE
     return (
         df.withColumn("_minute", minute)
         .join(F.broadcast(hot_keys), keys, "left")
-        .join(F.broadcast(hot_minutes), [*keys, "_minute"], "left")
-        .withColumn("_slice", F.when(F.col("_hot"), start))
-        .drop("_minute", "_parts")
+        .withColumn("_span", span)
+        .join(F.broadcast(full_spans), [*keys, "_span"], "left")
+        .withColumn("_slice", F.coalesce(of_part, of_span))
+        .drop("_minute", "_minutes", "_span", "_parts")
     )
 
 
