@@ -34,11 +34,11 @@ def with_slices(
     """Add ``_hot`` and, for hot keys, ``_slice``: an ascending number per time slice.
 
     A hot key is sliced into spans of so many minutes that, at its mean rate,
-    each holds a quarter of ``max_rows``. A span that is over-full nonetheless is
-    cut by minute, and its minutes into as many equal parts as the fullest asks
-    for. All of this rests on exact counts, so a recomputed branch cuts the same
-    slices. Where no key is hot, all that runs is one count per key: adaptive
-    execution then drops the empty branches.
+    each holds a sixteenth of ``max_rows``, small enough to spread evenly. A span
+    that is over-full nonetheless is cut by minute, and its minutes into as many
+    equal parts as the fullest asks for. All of this rests on exact counts, so a
+    recomputed branch cuts the same slices. Where no key is hot, all that runs is
+    one count per key: adaptive execution then drops the empty branches.
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(time))
@@ -56,7 +56,7 @@ def with_slices(
             *keys,
             F.lit(True).alias("_hot"),
             F.greatest(
-                F.floor(F.col("_length") * max_rows / (F.col("_rows") * 4)), F.lit(1)
+                F.floor(F.col("_length") * max_rows / (F.col("_rows") * 16)), F.lit(1)
             ).alias("_minutes"),
         )
     )
