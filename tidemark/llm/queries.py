@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.decontamination import contained_items
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.session import prepare
 
@@ -57,3 +58,27 @@ def query(name: str, sql: str | None = None):
 )
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query(
+    "op9_benchmark_decontamination",
+    r"""
+    WITH texts AS (
+      SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+    ), word AS (
+      SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                                   lambda x: x <> '') AS w FROM texts
+    ), sets AS (
+      SELECT kind, id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                                                 lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+      FROM word
+    ), item AS (SELECT id, len(s) AS n, unnest(s) AS x FROM sets WHERE kind = 'b'),
+    doc AS (SELECT id, unnest(s) AS x FROM sets WHERE kind = 'd')
+    SELECT doc.id AS doc_id, item.id AS item_id, n::BIGINT AS n_item, count(*)::BIGINT AS n_shared,
+           count(*) / n AS containment
+    FROM doc JOIN item USING (x) GROUP BY doc.id, item.id, n HAVING count(*) >= 0.8 * n
+    """,
+)
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
