@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contained_items
 from tidemark.llm.minhash_dedup import near_duplicates
+from tidemark.llm.source_mixing import mixed_sources
 from tidemark.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,8 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_source_mixing")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
