@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contained_items
+from tidemark.llm.language_id import identified, profiles
 from tidemark.llm.minhash_dedup import near_duplicates
+from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.source_mixing import mixed_sources
 from tidemark.session import prepare
 
@@ -88,3 +91,20 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_source_mixing")
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+@query("op2_secret_scan")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def held_out(modulus: int, remainder: int):
+    """Whether a document is kept from training by its id alone."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
+
+
+@query("op6_language_id")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(4, 2))
+    learnt = profiles(docs.where("NOT held_out"))
+    return identified(docs.select("doc_id", "held_out", "text"), learnt).drop("text", "known")
