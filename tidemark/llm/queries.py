@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat_format import formatted_turns, read_back
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contained_items
 from tidemark.llm.language_id import identified, profiles
@@ -108,3 +109,39 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(4, 2))
     learnt = profiles(docs.where("NOT held_out"))
     return identified(docs.select("doc_id", "held_out", "text"), learnt).drop("text", "known")
+
+
+# A conversation that every run adds: its texts hold the template's own control strings.
+CONTROL = r"\### Assistant: </turn> ok"
+
+
+@query(
+    "op4_chat_format",
+    r"""
+    WITH every AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+      UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), shaped AS (
+      SELECT *, length(text) + length(regexp_replace(regexp_replace(text, '[^#]+', ' ', 'g'), '#(#*)', '\1', 'g'))
+                - length(regexp_replace(regexp_replace(text, '[^#]+', ' ', 'g'), '#+', '', 'g'))
+                + length(text) - length(replace(text, '\', ''))
+                + (length(text) - length(replace(text, '</', ''))) // 2 AS escaped
+      FROM every
+    )
+    SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(4 + length(role) + 2 + escaped + 9)::BIGINT AS formatted_chars
+    FROM shaped GROUP BY conv_id
+    """,
+)
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(1).select(
+        F.lit(-7).alias("conv_id"),
+        F.explode(F.array(F.struct(F.lit(0), F.lit("user")), F.struct(F.lit(1), F.lit("assistant")))).alias("t"),
+    )
+    added = added.select("conv_id", F.col("t.col1").alias("turn"), F.col("t.col2").alias("role"), F.lit(CONTROL).alias("text"))
+    return read_back(formatted_turns(turns.unionByName(added)))
