@@ -14,6 +14,7 @@ from tidemark.llm.language_id import identified, profiles
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.source_mixing import mixed_sources
+from tidemark.llm.toxicity import labelled, scored, trained
 from tidemark.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,10 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     added = added.select("conv_id", F.col("t.col1").alias("turn"), F.col("t.col2").alias("role"), F.lit(CONTROL).alias("text"))
     return read_back(formatted_turns(turns.unionByName(added)))
+
+
+@query("op10_toxicity")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out(5, 0))
+    model = trained(labelled(docs.where("NOT held_out"), table(spark, sf_dir, "labels")))
+    return scored(docs, model).drop("text")
