@@ -15,6 +15,7 @@ from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.source_mixing import mixed_sources
 from tidemark.llm.toxicity import labelled, scored, trained
+from tidemark.llm.warc_bundles import archived
 from tidemark.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +154,21 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out(5, 0))
     model = trained(labelled(docs.where("NOT held_out"), table(spark, sf_dir, "labels")))
     return scored(docs, model).drop("text")
+
+
+@query(
+    "op7_warc_bundles",
+    """
+    WITH payload AS (
+      SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+    ), held AS (
+      SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS holder FROM payload
+    )
+    SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id < holder THEN holder END AS refers_to
+    FROM held
+    """,
+)
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages")).drop("url", "payload")
