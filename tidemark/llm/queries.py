@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat_format import formatted_turns, read_back
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contained_items
+from tidemark.llm.embedding_dedup import near_duplicate_vectors
 from tidemark.llm.language_id import identified, profiles
+from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.source_mixing import mixed_sources
@@ -172,3 +174,32 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
+@query(
+    "op1_embedding_near_dedup",
+    """
+    WITH RECURSIVE able AS (
+      SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+      SELECT l.vec_id AS a, r.vec_id AS b FROM able l JOIN able r ON l.vec_id <> r.vec_id
+      WHERE len(l.e) = len(r.e) AND list_cosine_similarity(l.e, r.e) >= 0.95
+    ), reach AS (
+      SELECT vec_id AS id, vec_id AS other FROM embeddings
+      UNION
+      SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other
+    ), least_of AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
+    FROM least_of LEFT JOIN counted ON a = id
+    """,
+)
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+@query("op3_license_scan")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
