@@ -243,6 +243,7 @@ def known_languages(docs: DataFrame, learnt: list[tuple[str, list[int]]], least_
     Those are null texts, texts without a letter, and texts of whose n-grams less than
     ``least_known`` occur in any profile.
     """
-    judged = identified(docs.drop("lang_pred", "score", "known"), learnt)
+    added = ("lang_pred", "score", "known")
+    judged = identified(docs.withColumnsRenamed({c: f"__own_{c}" for c in added if c in docs.columns}), learnt)
     kept = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= least_known))
-    return kept.select(*[c for c in docs.columns if c not in ("lang_pred", "score", "known")])
+    return kept.select(*[F.col(f"__own_{c}").alias(c) if c in added else F.col(c) for c in docs.columns])
