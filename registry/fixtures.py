@@ -179,7 +179,10 @@ class Tables:
                 "data_source",
             )
 
-        whole = bars("1h", "1 hour").unionByName(bars("4h", "4 hours")).unionByName(bars("1d", "1 day"))
+        widths = {"30m": "30 minutes", "1h": "1 hour", "4h": "4 hours", "1d": "1 day"}
+        whole = bars("15m", "15 minutes")
+        for code, width in widths.items():
+            whole = whole.unionByName(bars(code, width))
         return derive_ohlc_columns(whole)
 
     @cached_property
@@ -236,7 +239,8 @@ VIEWS: dict[str, str] = {
                    arg_min(price, t.time) AS open, max(price) AS high, min(price) AS low,
                    arg_max(price, t.time) AS close, sum(volume) AS volume, data_source
             FROM price_ticks t,
-                 (VALUES ('1h', INTERVAL 1 HOUR), ('4h', INTERVAL 4 HOUR), ('1d', INTERVAL 1 DAY))
+                 (VALUES ('15m', INTERVAL 15 MINUTE), ('30m', INTERVAL 30 MINUTE),
+                         ('1h', INTERVAL 1 HOUR), ('4h', INTERVAL 4 HOUR), ('1d', INTERVAL 1 DAY))
                  AS w(code, width)
             GROUP BY time_bucket(w.width, t.time), symbol, w.code, data_source
         )""",

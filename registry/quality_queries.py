@@ -227,3 +227,41 @@ def _(t):
     return quality.clean_ticks(shifted, START, END, dry_run=False).select(
         "time", "symbol", "price", "volume"
     )
+
+
+_TYPES = ("stock", "crypto", "forex", "commodity", "index", "etf", "bond")
+
+
+@query(
+    "check_symbols",
+    f"""SELECT CASE WHEN p_partkey % 5 = 0 THEN 'p ' ELSE 'P_' END || p_partkey AS symbol,
+           list_extract({list(_TYPES)}, p_partkey % 7 + 1) AS asset_type,
+           p_partkey % 5 <> 0 AND p_partkey % 7 <> 6 AS is_valid
+    FROM part""",
+)
+def _(t):
+    part = t.spark.read.parquet(f"{t.sf_dir}/part.parquet")
+    key, kinds = F.col("p_partkey"), F.array(*[F.lit(k) for k in _TYPES])
+    symbols = part.select(
+        F.concat(F.when(key % 5 == 0, "p ").otherwise("P_"), key).alias("symbol"),
+        F.get(kinds, (key % 7).cast("int")).alias("asset_type"),
+    )
+    return quality.check_symbols(symbols)
+
+
+@query(
+    "check_data_sources",
+    """SELECT s_suppkey AS id, s_suppkey % 11 <> 0 AND s_suppkey % 13 <= 10
+           AND coalesce(nullif(s_suppkey % 4, 3) > 0, TRUE) AND s_suppkey % 3 >= 1 AS is_valid
+    FROM supplier""",
+)
+def _(t):
+    key = F.col("s_suppkey")
+    sources = t.spark.read.parquet(f"{t.sf_dir}/supplier.parquet").select(
+        key.alias("id"),
+        F.when(key % 11 == 0, " ").otherwise(F.col("s_name")).alias("name"),
+        (key % 13 / 10).cast("decimal(3,2)").alias("reliability_score"),
+        F.when(key % 4 != 3, key % 4).alias("rate_limit_per_minute"),
+        (key % 3 - 1).alias("data_delay_seconds"),
+    )
+    return quality.check_data_sources(sources).select("id", "is_valid")

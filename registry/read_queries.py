@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from registry.core import AS_OF, END, START, query
 from tidemark.operators import reads
+from tidemark.session import scratch_path
+from tidemark.sources import tables
 
 _NUMBERS = "value value2 value3 value4"
 _SHAPE = "time, entity_id, value, value2, value3, value4"
@@ -12,12 +14,16 @@ _RANGE = f"time >= TIMESTAMP '{START}' AND time < TIMESTAMP '{END}'"
 
 @query("load_records", f"SELECT {_SHAPE}, metadata FROM records", _NUMBERS)
 def _(t):
-    return t.records
+    path = scratch_path(t.spark, "records")
+    tables.append_days(t.records, path)
+    return tables.load_records(t.spark, path).drop("day")
 
 
 @query("load_entities", "SELECT entity_id, entity_type, name, is_active FROM entities")
 def _(t):
-    return t.entities.select("entity_id", "entity_type", "name", "is_active")
+    path = scratch_path(t.spark, "entities")
+    t.entities.write.parquet(path)
+    return tables.load_entities(t.spark, path).select("entity_id", "entity_type", "name", "is_active")
 
 
 @query(
@@ -26,7 +32,11 @@ def _(t):
     "price volume bid_price ask_price",
 )
 def _(t):
-    return t.price_ticks
+    path = scratch_path(t.spark, "ticks")
+    tables.append_days(t.price_ticks, path)
+    return tables.load_ticks(t.spark, path).select(
+        "time", "symbol", "price", "volume", "exchange", "data_source", "bid_price", "ask_price"
+    )
 
 
 @query(
@@ -35,7 +45,9 @@ def _(t):
     "open high low close volume price_change price_change_percent",
 )
 def _(t):
-    return t.ohlc_data
+    path = scratch_path(t.spark, "bars")
+    tables.append_days(t.ohlc_data, path)
+    return tables.load_ohlc(t.spark, path).select(*t.ohlc_data.columns)
 
 
 @query("get_records", f"SELECT {_SHAPE} FROM records WHERE {_RANGE}", _NUMBERS)
@@ -74,11 +86,18 @@ def _(t):
 
 
 @query(
-    "get_records_batches", f"SELECT {_SHAPE}, metadata FROM records WHERE {_RANGE}", _NUMBERS
+    "get_records_batches",
+    f"""SELECT (row_number() OVER (ORDER BY time DESC, entity_id) - 1) // 700 AS batch,
+        {_SHAPE}, metadata FROM records WHERE {_RANGE}""",
+    _NUMBERS,
 )
 def _(t):
-    """The frame the batches are cut from; the cutting is done by the consumer."""
-    return reads.get_records(t.records, START, END, include_metadata=True)
+    """The consumer writes each batch it is handed under its number."""
+    path = scratch_path(t.spark, "batches")
+    for number, rows in enumerate(reads.get_records_batches(t.records, START, END, batch_size=700)):
+        batch = t.spark.createDataFrame(rows, t.records.select(*rows[0].__fields__).schema)
+        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(path)
+    return t.spark.read.parquet(path)
 
 
 @query(

@@ -1,6 +1,7 @@
 """Rollups, their refresh and reads of stored rollups."""
 
-from registry.core import AS_OF, END, START, query
+from registry.core import AS_OF, END, SQL, START, query
+from tidemark.functions.buckets import whole_buckets
 from tidemark.plans import rollups
 from tidemark.session import scratch_path
 
@@ -87,16 +88,17 @@ _SUMMARY_NUMBERS = "open high low close volume avg_price_change_percent volatili
 _RANK = """CASE interval_duration WHEN '1m' THEN 1 WHEN '5m' THEN 2 WHEN '15m' THEN 3
     WHEN '30m' THEN 4 {more} END"""
 _MORE_RANKS = "WHEN '1h' THEN 5 WHEN '4h' THEN 6 ELSE 7"
-_LENGTH = "CASE interval_duration WHEN '1h' THEN 1 WHEN '4h' THEN 2 ELSE 3 END"
+_LENGTH = """CASE interval_duration WHEN '15m' THEN 1 WHEN '30m' THEN 2 WHEN '1h' THEN 3
+    WHEN '4h' THEN 4 ELSE 5 END"""
 
 
-def _since(days: int) -> str:
-    return f"time >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL {days} DAY"
+def _since(years: int) -> str:
+    return f"time >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL {years} YEAR"
 
 
 @query(
     "ohlc_summary_1hour",
-    _summary("1 hour", f"({_RANK.format(more='ELSE 5')}, time, {_LENGTH})", _since(365)),
+    _summary("1 hour", f"({_RANK.format(more='ELSE 5')}, time, {_LENGTH})", _since(1)),
     _SUMMARY_NUMBERS,
 )
 def _(t):
@@ -108,7 +110,7 @@ def _(t):
     _summary(
         "1 day",
         f"({_RANK.format(more=_MORE_RANKS)}, time, {_LENGTH})",
-        _since(730),
+        _since(2),
     ),
     _SUMMARY_NUMBERS,
 )
@@ -310,3 +312,38 @@ def _(t):
     minutes = rollups.ROLLUPS["ticks_1min"]
     rollups.refresh_rollup(t.spark, minutes, t.price_ticks, f"{root}/ticks_1min", START, END)
     return rollups.route_rollup(t.spark, root, "1h", START, END)
+
+
+_DUE_AS_OF = "2024-01-29 12:00:00"
+
+
+def _register_due(name: str) -> None:
+    """One refresh by policy per rollup, against the whole rollup cut to the policy's window."""
+    rollup = rollups.ROLLUPS[name]
+    low, high = whole_buckets(
+        rollups.before(_DUE_AS_OF, rollup.start), rollups.before(_DUE_AS_OF, rollup.end), rollup.width
+    )
+    window = f"bucket >= TIMESTAMP '{low}' AND bucket < TIMESTAMP '{high}'"
+
+    @query(f"refresh_due_{name}")
+    def _(t):
+        root = scratch_path(t.spark, "rollups")
+        sources = {"price_ticks": t.price_ticks, "ohlc_data": t.ohlc_data}
+        rollups.refresh_due(t.spark, _DUE_AS_OF, sources, root, [name])
+        return t.spark.read.parquet(f"{root}/{name}").drop("day")
+
+    SQL[f"refresh_due_{name}"] = f"SELECT * FROM ({SQL[name]}) WHERE {window}"
+
+
+for _name in rollups.ROLLUPS:
+    if _name != "market_volatility_hourly":  # registered above as refresh_due
+        _register_due(_name)
+
+
+@query("refresh_all", _ticks("1 hour", f", {_VWAP}, {_CHANGE}",
+    "time >= TIMESTAMP '2024-01-09' AND time < TIMESTAMP '2024-01-11'"), f"{_BAR_NUMBERS} {_CHANGE_NUMBERS}")
+def _(t):
+    root = scratch_path(t.spark, "rollups")
+    sources = {"price_ticks": t.price_ticks, "ohlc_data": t.ohlc_data}
+    rollups.refresh_all(t.spark, sources, root, "2024-01-11", "2024-01-09")
+    return t.spark.read.parquet(f"{root}/ticks_1hour").drop("day")

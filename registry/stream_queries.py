@@ -15,6 +15,15 @@ def _events(t):
     return flows.read_stream(t.spark, t.sf_dir, t.events_schema, files="events.parquet")
 
 
+def _batches(t, files=4):
+    """The events dealt to several files, one per micro-batch."""
+    path = scratch_path(t.spark, "events")
+    t.spark.read.schema(t.events_schema).parquet(f"{t.sf_dir}/events.parquet").repartition(
+        files, "user_id"
+    ).write.parquet(path)
+    return flows.read_stream(t.spark, path, t.events_schema, max_files=1)
+
+
 def _collected(t, stream):
     """Run a stream dry into a fresh Parquet folder and read that."""
     path = scratch_path(t.spark, "sink")
@@ -29,9 +38,9 @@ _NUMBERS = "value value2 value3 value4"
 @query("stream_ingest", f"SELECT {_SHAPE} FROM records", _NUMBERS)
 def _(t):
     path = scratch_path(t.spark, "records")
-    raw = records_of(_events(t))
+    raw = records_of(_batches(t))
     flows.run_available(flows.stream_ingest(raw, path, scratch_path(t.spark, "state")))
-    return tables.load_records(t.spark, path).drop("day", "metadata")
+    return flows.merged_records(t.spark, path).drop("metadata")
 
 
 @query(
@@ -45,8 +54,9 @@ def _(t):
     path, rejects = scratch_path(t.spark, "records"), scratch_path(t.spark, "rejects")
     state = scratch_path(t.spark, "state")
     flows.run_available(
-        flows.stream_ingest(raw_of(_events(t)), path, state, rejects_path=rejects)
+        flows.stream_ingest(raw_of(_batches(t)), path, state, rejects_path=rejects)
     )
+    flows.fold_pending(t.spark, path)
     return tables.load_records(t.spark, path).select("time", "entity_id", "value")
 
 
@@ -105,9 +115,10 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "latest")
     flows.run_available(
-        flows.stream_latest(records_of(_events(t)), path, scratch_path(t.spark, "state"), parts=8)
+        flows.stream_latest(records_of(_batches(t)), path, scratch_path(t.spark, "state"))
     )
-    return t.spark.read.parquet(path).select("entity_id", "time", "value", "value2", "value3")
+    flows.fold_latest(t.spark, path)
+    return flows.load_latest(t.spark, path).select("entity_id", "time", "value", "value2", "value3")
 
 
 @query(

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import buckets, instants
+from tidemark.sources import tables
 
 
 @pytest.mark.parametrize(
@@ -89,7 +90,7 @@ def test_range_reaches_the_scan_and_prunes_days(spark, tmp_path):
     )
     path = str(tmp_path / "t")
     df.withColumn("day", F.to_date("time")).write.partitionBy("day").parquet(path)
-    stored = instants.within(spark.read.parquet(path), "2024-01-02", "2024-01-02 06:00")
+    stored = instants.within(tables.read_days(spark, path), "2024-01-02", "2024-01-02 06:00")
     plan = stored._sc._jvm.PythonSQLUtils.explainString(stored._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(day" in plan
     assert "GreaterThanOrEqual(time,2024-01-02" in plan and "LessThan(time,2024-01-02" in plan

@@ -8,9 +8,15 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import gaps, indicators, quality
+from tidemark.operators import gaps, indicators, percentiles, quality, sequence
 from tidemark.operators.percentiles import group_with_percentiles
-from tidemark.operators.sequence import newest_rows, repeat_rows, with_previous, with_slices
+from tidemark.operators.sequence import (
+    newest_rows,
+    repeat_rows,
+    with_history,
+    with_previous,
+    with_slices,
+)
 from tidemark.plans.rollups import market_volatility_hourly
 
 
@@ -138,6 +144,45 @@ def test_bracketed_percentile_is_exact(spark, q):
     assert found["cold"] == (1, 1.0) and found["none"] == (1, None)
 
 
+def test_percentile_answers_when_the_sketch_misses(spark, monkeypatch):
+    """A bracket that is far too low is replaced by the whole range."""
+    monkeypatch.setattr(percentiles, "_MARGIN", -0.2)
+    df = spark.range(1, 102).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
+    found = group_with_percentiles(df, ["g"], "v", {"p": 0.5}, max_rows=10).first()
+    assert found["p"] == 51.0
+
+
+def test_many_hot_keys_are_joined_without_broadcast(skewed, monkeypatch):
+    plain = with_previous(skewed, ["entity_id"], ["value"], max_rows=40)
+    monkeypatch.setattr(sequence, "FEW", 0)
+    shuffled = with_previous(skewed, ["entity_id"], ["value"], max_rows=40)
+    assert _sorted(plain, "entity_id", "time", "previous") == _sorted(shuffled, "entity_id", "time", "previous")
+
+
+def test_a_long_frame_reaches_over_many_sparse_slices(skewed):
+    """Ten thousand rows of history, far more than a slice holds."""
+    arranged, keys, _ = with_history(skewed, ["entity_id"], 10_000, max_rows=40)
+    sizes = arranged.groupBy(*keys, "_carried").count().collect()
+    assert max(r["count"] for r in sizes if not r["_carried"] and r["entity_id"] == "hot") <= 60
+    arranged, keys, _ = with_history(skewed, ["entity_id"], 100, max_rows=40)
+    carried = [r["count"] for r in arranged.filter("_carried").groupBy(*keys).count().collect()]
+    assert carried and max(carried) <= 200
+
+
+def test_equal_times_give_one_answer_however_rows_lie(spark):
+    chance = random.Random(11)
+    rows = [(f"2024-01-0{1 + i % 3}", "A", round(chance.random() * 100, 2), float(i % 7)) for i in range(200)]
+    ticks = spark.createDataFrame(rows, "time string, symbol string, price double, volume double")
+    ticks = ticks.withColumn("time", F.col("time").cast("timestamp"))
+    answers = {
+        tuple(sorted(tuple(r) for r in quality.validate_ticks(
+            ticks.repartition(n), "2024-01-01", "2024-02-01", max_rows=limit).collect()))
+        for n in (1, 3, 7, 11)
+        for limit in (20, 1000)
+    }
+    assert len(answers) == 1
+
+
 def test_percentile_without_keys(spark):
     df = spark.range(1, 102).select(F.col("id").cast("double").alias("v"))
     for limit in (10, 1000):

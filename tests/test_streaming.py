@@ -60,9 +60,33 @@ def test_ingest_merges_batches_and_keeps_rejects(spark, feed, tmp_path):
     add((0, "a", 9.0), (2, "b", float("nan")))
     path, bad = str(tmp_path / "records"), str(tmp_path / "bad")
     flows.run_available(flows.stream_ingest(stream(), path, str(tmp_path / "state"), rejects_path=bad))
-    got = tables.load_records(spark, path).collect()
-    assert len(got) == 1 and got[0]["entity_id"] == "a"
     assert spark.read.parquet(bad).count() == 2
+    got = flows.merged_records(spark, path).collect()
+    assert [(r["entity_id"], r["value"]) for r in got] == [("a", 9.0)]
+    assert flows.fold_pending(spark, path) == 2
+    add((0, "a", 10.0), (3, "c", 1.0))
+    flows.run_available(flows.stream_ingest(stream(), path, str(tmp_path / "state"), rejects_path=bad))
+    assert [r["value"] for r in tables.load_records(spark, path).collect()] == [9.0]
+    for _ in range(2):
+        got = {r["entity_id"]: r["value"] for r in flows.merged_records(spark, path).collect()}
+        assert got == {"a": 10.0, "c": 1.0}
+        flows.fold_pending(spark, path)
+    assert flows.fold_pending(spark, path) == 0
+
+
+def test_a_trigger_writes_what_it_brought(spark, feed, tmp_path):
+    """Files of earlier batches are not touched, and a replay of a batch takes its own place."""
+    add, stream, _ = feed
+    add(*[(m, f"e{m % 5}", float(m)) for m in range(50)])
+    path, state = str(tmp_path / "records"), str(tmp_path / "state")
+    flows.run_available(flows.stream_ingest(stream(), path, state))
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "records-pending").rglob("*.parquet")}
+    add((7, "e0", 1.0))
+    flows.run_available(flows.stream_ingest(stream(), path, state))
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "records-pending").rglob("*.parquet")}
+    assert before.items() < after.items()
+    flows.run_available(flows.stream_ingest(stream(), path, str(tmp_path / "again")))
+    assert flows.merged_records(spark, path).count() == 51
 
 
 def test_latest_keeps_the_newest_over_batches(spark, feed, tmp_path):
@@ -70,8 +94,14 @@ def test_latest_keeps_the_newest_over_batches(spark, feed, tmp_path):
     add((10, "a", 1.0), (20, "b", 2.0))
     add((5, "a", 99.0), (30, "b", 3.0), (1, "c", 4.0))
     path = str(tmp_path / "latest")
-    flows.run_available(flows.stream_latest(stream(), path, str(tmp_path / "state"), parts=2))
-    assert {r["entity_id"]: r["value"] for r in spark.read.parquet(path).collect()} == {"a": 1.0, "b": 3.0, "c": 4.0}
+    flows.run_available(flows.stream_latest(stream(), path, str(tmp_path / "state")))
+    for left in (2, 1):
+        got = {r["entity_id"]: r["value"] for r in flows.load_latest(spark, path).collect()}
+        assert got == {"a": 1.0, "b": 3.0, "c": 4.0}
+        assert flows.fold_latest(spark, path) == left
+    add((40, "c", 5.0))
+    flows.run_available(flows.stream_latest(stream(), path, str(tmp_path / "state")))
+    assert {r["entity_id"]: r["value"] for r in flows.load_latest(spark, path).collect()}["c"] == 5.0
 
 
 def test_silence(spark, feed, tmp_path):

@@ -1,11 +1,14 @@
 """Stored tables: ingest, upsert, refresh, retention, compaction."""
 
+import dataclasses
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import lifecycle
+from tidemark.functions.instants import within
+from tidemark.operators import lifecycle, quality
 from tidemark.plans import rollups
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources import ingest, tables
@@ -215,3 +218,112 @@ def test_compaction_and_report(spark, ticks, tmp_path):
     first = spark.read.parquet(f"{path}/day=2024-01-01").collect()
     assert [r["symbol"] for r in first] == ["A"] * 3 + ["B"] * 3
     assert lifecycle.partition_findings(after, "price_ticks").first()[0] == "nothing to do"
+
+
+def test_compaction_leaves_few_sorted_files(spark, tmp_path):
+    """Forty days of many files become one file each, and larger days as many as their bytes need."""
+    path = str(tmp_path / "ticks")
+    rows = spark.range(40_000).select(
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("id") % 40, F.lit(0), F.lit(0), F.col("id") / 100)).alias("time"),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 97)).alias("symbol"),
+        F.rand(1).alias("price"),
+    )
+    rows = rows.cache()
+    for part in range(3):
+        tables.append_days(rows.filter(F.col("price") * 3 >= part).filter(F.col("price") * 3 < part + 1), path)
+    target = max(tables.day_bytes(spark, path, tables.stored_days(spark, path)).values()) // 2 + 1
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    done = lifecycle.compact_partitions(spark, path, ["symbol"], 1, "2024-03-01", target)
+    assert len(done) == 40
+    report = lifecycle.partition_report(spark.read.parquet(path), "2024-03-01", 1, target).collect()
+    assert {r["file_count"] for r in report} <= {1, 2, 3} and max(r["file_count"] for r in report) > 1
+    lifecycle.compact_partitions(spark, path, ["symbol"], 1, "2024-03-01", target)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    report = lifecycle.partition_report(spark.read.parquet(path), "2024-03-01", 1, target).collect()
+    assert {r["recommendation"] for r in report} == {"keep"}
+    assert sum(r["row_count"] for r in report) == 40_000
+    stored = tables.read_days(spark, path)
+    assert stored.select(*rows.columns).exceptAll(rows).isEmpty()
+    lifecycle.compact_partitions(spark, path, ["symbol"], 1, "2024-03-01")
+    report = lifecycle.partition_report(spark.read.parquet(path), "2024-03-01", 1).collect()
+    assert {(r["file_count"], r["recommendation"]) for r in report} == {(1, "keep")}
+    assert lifecycle.compact_partitions(spark, path, ["symbol"], 1, "2024-03-01") == []
+
+
+def test_look_back_reads_older_history_only_for_missing_symbols(spark, ticks, tmp_path):
+    path = str(tmp_path / "ticks")
+    rows = [(f"2024-01-{d:02} {h:02}:15:00", s, float(h + i)) for d in (14, 15) for h in range(0, 24, 3) for i, s in enumerate("AB")]
+    tables.append_days(ticks(*rows).withColumns({"exchange": F.lit("X"), "data_source": F.lit("S")}), path)
+    old = tmp_path / "ticks" / "day=2023-06-01"
+    old.mkdir()
+    (old / "part-0.parquet").write_bytes(b"not a table")
+    source = tables.load_ticks(spark, path)
+    rollup = rollups.ROLLUPS["market_volatility_hourly"]
+    out = rollups.compute_rollup(rollup, source, "2024-01-15 05:00", "2024-01-15 20:00")
+    assert out.count() == 10  # would fail on the broken file of the older day
+    lone = source.filter("symbol = 'A' OR time >= '2024-01-15 05:00'")
+    with pytest.raises(Exception):
+        rollups.compute_rollup(rollup, lone, "2024-01-15 05:00", "2024-01-15 20:00").collect()
+
+
+def test_spans_follow_the_calendar():
+    assert rollups.before("2024-03-31", "1 month") == datetime(2024, 2, 29)
+    assert rollups.before("2025-03-01", "1 year") == datetime(2024, 3, 1)
+    assert rollups.before("2024-02-29 06:00", "2 years") == datetime(2022, 2, 28, 6)
+    assert rollups.before("2024-03-01 00:30", "1 hour") == datetime(2024, 2, 29, 23, 30)
+
+
+def test_refresh_honours_what_a_rollup_is_defined_on(spark, ticks, tmp_path):
+    rollup = dataclasses.replace(
+        rollups.ROLLUPS["ticks_1day"], build=lambda t: rollups.ohlc_from_ticks(t, "1 day"), keep=rollups.parse_width("1 year"))
+    source = ticks(("2024-02-29 12:00:00", "A", 1.0), ("2024-03-01 12:00:00", "A", 2.0))
+    rollups.refresh_rollup(spark, rollup, source, str(tmp_path / "r"), "2024-02-01", "2024-04-01", "2025-03-01 10:00")
+    assert [r["close"] for r in spark.read.parquet(str(tmp_path / "r")).collect()] == [2.0]
+
+
+@pytest.mark.parametrize("bad", [
+    {"symbol": None}, {"time": None}, {"price": float("nan")}, {"price": float("inf")}, {"volume": float("nan")},
+    {"bid_price": float("inf")}, {"price": -1.0},
+])
+def test_ticks_that_break_a_rule_are_not_stored(spark, tmp_path, bad):
+    good = {"time": datetime(2024, 1, 1), "symbol": "A", "price": 1.0, "volume": 1.0, "bid_price": 1.0, "ask_price": 1.0}
+    schema = "time timestamp, symbol string, price double, volume double, bid_price double, ask_price double"
+    rows = spark.createDataFrame([tuple(good.values()), tuple((good | bad).values())], schema)
+    ingest.insert_ticks(rows, str(tmp_path / "t"))
+    assert [r["price"] for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [1.0]
+
+
+def test_writes_refuse_what_they_would_lose(spark, records, tmp_path):
+    path = str(tmp_path / "r")
+    rows = records(("2024-01-01 00:00:00", "a", 1.0), ("2024-01-01 00:00:01", "bad id", 1.0), ("2024-01-01 00:00:02", "b", float("nan")))
+    ingest.insert_records(rows, path)
+    assert [r["entity_id"] for r in spark.read.parquet(path).collect()] == ["a"]
+    with pytest.raises(ValueError):
+        ingest.upsert_records(rows.withColumn("unit", F.lit("C")), path)
+    with pytest.raises(Exception, match="key columns"):
+        ingest.upsert_days(rows.withColumn("entity_id", F.lit(None).cast("string")), path, ingest.RECORD_KEY)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_a_day_column_of_ones_own_is_left_alone(spark, ticks, tmp_path):
+    own = ticks(("2024-01-15 12:00:00", "A", 1.0)).withColumn("day", F.lit("2020-01-01").cast("date"))
+    assert within(own, "2024-01-01", "2024-02-01").count() == 1
+    assert within(own.withColumn("day", F.lit("Monday")), "2024-01-01", "2024-02-01").count() == 1
+    tables.append_days(ticks(("2024-01-15 12:00:00", "A", 1.0)), str(tmp_path / "t"))
+    plan = within(tables.read_days(spark, str(tmp_path / "t")), "2024-01-01")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_a_named_symbol_without_ticks_has_its_four_counts(ticks):
+    some = ticks(("2024-01-15 12:00:00", "A", 1.0))
+    got = quality.validate_ticks(some, "2024-01-01", "2024-02-01", "ZZ").collect()
+    assert sorted((r["symbol"], r["issue_count"]) for r in got) == [("ZZ", 0)] * 4
+
+
+def test_batches_leave_nothing_behind(spark, tmp_path):
+    raw = spark.createDataFrame([("2024-01-01 00:00:00", "a", "1", None, None, None, "{}")],
+        "time string, entity_id string, value string, value2 string, value3 string, value4 string, metadata string")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = {p.name for p in shared.glob("batch-*")}
+    assert ingest.insert_many(raw, str(tmp_path / "r")).processed == 1
+    assert {p.name for p in shared.glob("batch-*")} == before

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 Instant = str | date | datetime
 
+#: Column metadata of a day partition: the name of the time column it was made from.
+PARTITION_OF = "partition_of"
+
 
 def instant(value: Instant) -> datetime:
     """Naive UTC datetime for an ISO string, a date or a datetime."""
@@ -46,19 +49,21 @@ def within(
     """Rows of ``[start, end)``, or ``[start, end]`` when ``closed``.
 
     A stored fact table is partitioned by ``day``, which Catalyst does not
-    derive from ``time``; the day bounds are added so whole partitions go.
+    derive from ``time``; the day bounds are added so whole partitions go. Only
+    columns that the table readers have marked as such partitions are used so.
     """
     if start is not None and end is not None and instant(start) > instant(end):
         raise ValueError("time range must not end before it starts")
+    days = [f.name for f in df.schema.fields if f.metadata.get(PARTITION_OF) == time]
     if start is not None:
         df = df.filter(F.col(time) >= at(start))
-        if "day" in df.columns:
-            df = df.filter(F.col("day") >= F.lit(instant(start).date()))
+        for day in days:
+            df = df.filter(F.col(day) >= F.lit(instant(start).date()))
     if end is not None:
         upper = F.col(time) <= at(end) if closed else F.col(time) < at(end)
         df = df.filter(upper)
-        if "day" in df.columns:
-            df = df.filter(F.col("day") <= F.lit(instant(end).date()))
+        for day in days:
+            df = df.filter(F.col(day) <= F.lit(instant(end).date()))
     return df
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.instants import Instant, at, back, instant, within
@@ -13,8 +14,10 @@ from tidemark.operators.latest import keep_newest
 from tidemark.operators.quality import CLEANED_MESSAGE, clean_ticks
 from tidemark.sources.tables import (
     DAY,
+    day_bytes,
     drop_days,
     on_days,
+    read_days,
     replace_days,
     stored_days,
 )
@@ -40,6 +43,7 @@ COMPACTION = {
     "time_series_data": (("entity_id",), 7),
 }
 KEEP_LOG_ROWS = 20
+FILE_BYTES = 256 * 1024 * 1024  # of a compacted file, at most about
 
 
 def _first_kept_day(days: float, as_of: Instant) -> datetime:
@@ -73,7 +77,7 @@ def retention_by_symbol(
     if not chunk_semantics:
         return ticks.filter((F.col("time") >= at(cutoff)) | ~matching)
     marked = within(ticks, end=cutoff).filter(matching).select(F.to_date("time").alias("_day")).distinct()
-    return ticks.join(F.broadcast(marked), F.to_date("time") == F.col("_day"), "left_anti")
+    return ticks.join(marked, F.to_date("time") == F.col("_day"), "left_anti")
 
 
 def tiered_ohlc_retention(
@@ -94,7 +98,7 @@ def tiered_ohlc_retention(
     if not chunk_semantics:
         return bars.filter(~expired)
     marked = bars.filter(expired).select(F.to_date("time").alias("_day")).distinct()
-    return bars.join(F.broadcast(marked), F.to_date("time") == F.col("_day"), "left_anti")
+    return bars.join(marked, F.to_date("time") == F.col("_day"), "left_anti")
 
 
 def archive_inactive_sources(
@@ -168,7 +172,7 @@ def clean_ticks_table(
     spark: SparkSession, path: str, start: Instant, end: Instant, symbol: str | None = None
 ) -> str:
     """Remove invalid prices from a stored table, rewriting only days that hold some."""
-    stored = spark.read.parquet(path)
+    stored = read_days(spark, path)
     kept = clean_ticks(stored, start, end, symbol, dry_run=False)
     low, high = instant(start).date(), instant(end).date()
     days = [d for d in stored_days(spark, path) if low <= d <= high]
@@ -194,16 +198,16 @@ def run_retention(
     if symbol_pattern == "%":
         tick_note = f"{len(drop_expired_days(spark, ticks_path, tick_days, as_of))} tick days dropped"
     else:
-        ticks = spark.read.parquet(ticks_path)
+        ticks = read_days(spark, ticks_path)
         kept = retention_by_symbol(ticks, as_of, symbol_pattern, tick_days)
         days = expired_days(spark, ticks_path, tick_days, as_of)
         tick_note = f"{rewrite_days(spark, ticks_path, days, kept, ticks)} ticks removed"
-    bars = spark.read.parquet(bars_path)
+    bars = read_days(spark, bars_path)
     tiered = tiered_ohlc_retention(bars, as_of)
     due = expired_days(spark, bars_path, min(OHLC_KEEP_DAYS.values()), as_of)
     bar_note = f"{rewrite_days(spark, bars_path, due, tiered, bars)} bars removed"
     archived = archive_inactive_sources(
-        sources, spark.read.parquet(ticks_path), spark.read.parquet(bars_path), as_of
+        sources, read_days(spark, ticks_path), read_days(spark, bars_path), as_of
     )
     kept_log, _ = keep_newest(log, KEEP_LOG_ROWS, "version")
     note = f"retention: {tick_note}; {bar_note}"
@@ -226,31 +230,79 @@ def run_log_row(spark: SparkSession, prefix: str, note: str, as_of: Instant) ->
 
 
 def compact_partitions(
-    spark: SparkSession, path: str, cluster: Sequence[str], older_than_days: float, as_of: Instant
+    spark: SparkSession,
+    path: str,
+    cluster: Sequence[str],
+    older_than_days: float,
+    as_of: Instant,
+    target_bytes: int = FILE_BYTES,
 ) -> list[date]:
     """Rewrite old days as few files sorted by key and falling time.
 
-    Row groups then cover few keys each, so a read of one key skips the rest.
-    The rebalance splits an over-full day and key instead of giving it to one task.
+    A day of ``b`` stored bytes becomes at most ``b / target_bytes`` files, rounded up,
+    each sorted, so that row groups cover few keys and a read of one key skips the rest.
+    A key goes to one file of its day, unless it alone holds more than a file's share;
+    such a key is spread over all files of the day by time. Days that are already that
+    few files are left alone; a day that shrinks in the rewrite may need fewer still and
+    is then rewritten once more. Returns the days that were rewritten.
     """
     old = expired_days(spark, path, older_than_days, as_of)
-    if old:
-        (
-            on_days(spark.read.parquet(path), old)
-            .hint("rebalance", F.col(DAY), *[F.col(c) for c in cluster])
-            .sortWithinPartitions(DAY, *cluster, F.col("time").desc())
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY)
-            .parquet(path)
+    sizes = day_bytes(spark, path, old)
+    files = {d: max(1, math.ceil(sizes[d] / target_bytes)) for d in old}
+    stored = spark.read.parquet(path)
+    held = {
+        r[DAY]: r["n"]
+        for r in on_days(stored, old)
+        .groupBy(DAY)
+        .agg(F.count_distinct(F.col("_metadata.file_path")).alias("n"))
+        .collect()
+    } if old else {}
+    due = [d for d in old if held.get(d, 0) > files[d]]
+    if not due:
+        return due
+    numbers, first = {}, 0
+    for d in due:
+        numbers[d] = first
+        first += files[d]
+    rows = on_days(stored, due)
+    count = F.element_at(_by_day(files, due), F.col(DAY))
+    if first > len(due):
+        shares = rows.groupBy(DAY, *cluster).agg(F.count(F.lit(1)).alias("_n"))
+        whole = Window.partitionBy(DAY)
+        large = shares.filter(count > 1).withColumn("_all", F.sum("_n").over(whole))
+        large = large.filter(F.col("_n") * count > F.col("_all")).select(
+            DAY, *cluster, F.lit(True).alias("_large")
         )
-    return old
+        rows = rows.join(large, [DAY, *cluster], "left")
+    else:
+        rows = rows.withColumn("_large", F.lit(None).cast("boolean"))
+    place = F.when(F.col("_large"), F.xxhash64("time")).otherwise(F.xxhash64(*cluster))
+    file = F.element_at(_by_day(numbers, due), F.col(DAY)) + F.pmod(place, count)
+    (
+        rows.withColumn("_file", file)
+        .repartitionByRange(first, "_file")
+        .sortWithinPartitions(DAY, *cluster, F.col("time").desc())
+        .select(*stored.columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY)
+        .parquet(path)
+    )
+    return due
+
+
+def _by_day(values: Mapping[date, int], days: Sequence[date]) -> Column:
+    return F.create_map(*[F.lit(x) for d in days for x in (d, values[d])])
 
 
 def partition_report(
-    stored: DataFrame, as_of: Instant, older_than_days: float = 7, max_files: int = 1
+    stored: DataFrame, as_of: Instant, older_than_days: float = 7, target_bytes: int = FILE_BYTES
 ) -> DataFrame:
-    """Rows, files and bytes per stored day, and whether the day should be compacted."""
+    """Rows, files and bytes per stored day, and whether the day should be compacted.
+
+    An old day should be if it has more files than its bytes need at ``target_bytes``
+    each, which is what :func:`compact_partitions` leaves.
+    """
     per_file = stored.groupBy(
         DAY, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size")
     ).agg(F.count(F.lit(1)).alias("_n"))
@@ -264,7 +316,9 @@ def partition_report(
         )
         .withColumn(
             "recommendation",
-            F.when(old & (F.col("file_count") > max_files), "compact").otherwise("keep"),
+            F.when(
+                old & (F.col("file_count") > F.ceil(F.col("total_bytes") / target_bytes)), "compact"
+            ).otherwise("keep"),
         )
     )
 

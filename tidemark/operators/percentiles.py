@@ -4,7 +4,8 @@ Spark's ``percentile`` keeps every distinct value of a group in one buffer. That
 is fine for ordinary groups; a group of more than ``max_rows`` rows instead gets
 its answer by bracketing: a mergeable sketch gives two values that enclose the
 wanted rank, one pass counts what lies below and groups what lies inside, and
-only that thin slice is ranked.
+only that thin slice is ranked. Should a sketch ever miss the rank, the group's
+values are counted and ranked whole, so there is always an answer, and the same one.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sequence import few_or_all
+
 HOT_GROUP = 1_000_000
 _ACCURACY = 10_000
 _MARGIN = 2.0 / _ACCURACY
@@ -30,8 +33,8 @@ def group_with_percentiles(
 ) -> DataFrame:
     """``groupBy(keys).agg(others)`` plus one exact percentile per ``wanted`` name.
 
-    The table of hot groups has at most ``rows / max_rows`` entries, which is
-    what bounds both broadcasts.
+    The hot groups are counted first, by a job of their own; without any, Spark's
+    ``percentile`` is all there is.
     """
     keys = list(keys)
     if not keys:
@@ -41,14 +44,19 @@ def group_with_percentiles(
         .agg(F.count(value).alias("_n"))
         .filter(F.col("_n") > max_rows)
     )
-    marked = _join_bounded(df, hot, keys, "left")
+    hot, any_hot = few_or_all(hot)
+    if not any_hot:
+        return df.groupBy(*keys).agg(
+            *others, *[F.percentile(value, q).alias(name) for name, q in wanted.items()]
+        ).drop("_all")
+    marked = _join_nullsafe(df, hot, keys, "left")
     ordinary = F.when(F.col("_n").isNull(), F.col(value))
     result = marked.groupBy(*keys).agg(
         *others, *[F.percentile(ordinary, q).alias(name) for name, q in wanted.items()]
     )
     hot_rows = marked.filter(F.col("_n").isNotNull() & F.col(value).isNotNull())
     exact = _bracketed(hot_rows.select(*keys, value, "_n"), keys, value, wanted)
-    joined = _join_bounded(result, exact, keys, "left")
+    joined = _join_nullsafe(result, exact, keys, "left")
     chosen = {name: F.coalesce(F.col(f"_exact_{name}"), F.col(name)) for name in wanted}
     return joined.withColumns(chosen).drop("_all", *[f"_exact_{name}" for name in wanted])
 
@@ -73,8 +81,23 @@ def _bracketed(
         )
         for i, ((name, q), (low, high)) in enumerate(zip(wanted.items(), limits, strict=True))
     ]
-    bracket = ends.select(*keys, F.inline(F.array(*brackets)))
-    placed = _join_bounded(rows, bracket, keys, "inner")
+    bracket = ends.select(*keys, "_min", "_max", F.inline(F.array(*brackets)))
+    picked = _picked(rows, bracket, keys, value)
+    hit = picked.filter(~F.col("_missed"))
+    missed = _join_nullsafe(bracket, hit.select(*keys, "_name"), [*keys, "_name"], "left_anti")
+    whole = missed.withColumns({"_low": F.col("_min"), "_high": F.col("_max")})
+    found = hit.unionByName(_picked(rows, whole, keys, value))
+    return found.groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("_name") == name, F.col("_exact"))).alias(f"_exact_{name}")
+            for name in wanted
+        ]
+    )
+
+
+def _picked(rows: DataFrame, bracket: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``_exact`` per group and name, and whether the bracket ``_missed`` the rank."""
+    placed = _join_nullsafe(rows, few_or_all(bracket.drop("_min", "_max"))[0], keys, "inner")
     per = [*keys, "_name"]
     below = placed.groupBy(*per).agg(F.count_if(F.col(value) < F.col("_low")).alias("_below"))
     counted = (
@@ -83,7 +106,7 @@ def _bracketed(
         .agg(F.count(F.lit(1)).alias("_count"))
     )
     upto = Window.partitionBy(*per).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _join_bounded(counted, below, per, "inner").withColumn(
+    ranked = _join_nullsafe(counted, below, per, "inner").withColumn(
         "_upto", F.col("_below") + F.sum("_count").over(upto)
     )
     position = F.col("_q") * (F.col("_n") - 1)
@@ -94,24 +117,13 @@ def _bracketed(
     )
     missed = (F.col("_below") > lower) | F.col("_lower").isNull() | F.col("_upper").isNull()
     between = F.col("_lower") + (F.col("_upper") - F.col("_lower")) * (position - lower)
-    checked = F.when(
-        missed, F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")
-    ).otherwise(between)
-    return picked.withColumn("_exact", checked).groupBy(*keys).agg(
-        *[
-            F.max(F.when(F.col("_name") == name, F.col("_exact"))).alias(f"_exact_{name}")
-            for name in wanted
-        ]
-    )
-
+    return picked.select(*keys, "_name", between.alias("_exact"), missed.alias("_missed"))
 
-def _join_bounded(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join on keys that may be NULL, keeping the left key columns.
 
-    The right side has a few rows per hot group and is broadcast.
-    """
+def _join_nullsafe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join on keys that may be NULL, keeping the left key columns."""
     renamed = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )
     match = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(F.broadcast(renamed), match, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, match, how).drop(*[f"_r_{k}" for k in keys])

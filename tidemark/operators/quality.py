@@ -12,6 +12,7 @@ from tidemark.functions.instants import Instant, at, within
 from tidemark.functions.measures import (
     ENTITY_ID,
     ENTITY_TYPE,
+    SYMBOL,
     VALUE_COLUMNS,
     is_finite,
     percent_change,
@@ -19,7 +20,7 @@ from tidemark.functions.measures import (
     ratio,
 )
 from tidemark.operators.sequence import HOT_ROWS, with_previous
-from tidemark.schemas import INTERVAL_CODES
+from tidemark.schemas import ASSET_TYPES, INTERVAL_CODES
 
 REASON = "reject_reason"
 
@@ -92,12 +93,44 @@ def _all(*rules: Column) -> Column:
     return F.coalesce(reduce(Column.__and__, rules), F.lit(False))
 
 
+def _ordinary(*names: str) -> list[Column]:
+    return [_optional(n, is_finite(F.col(n).cast("double"))) for n in names]
+
+
+def _keys(df: DataFrame, *names: str) -> list[Column]:
+    return [F.col(n).isNotNull() for n in names if n in df.columns]
+
+
+def check_symbols(symbols: DataFrame) -> DataFrame:
+    """Each symbol with ``is_valid``: its spelling, and one of the known kinds of asset."""
+    return symbols.withColumn(
+        "is_valid", _all(F.col("symbol").rlike(SYMBOL), F.col("asset_type").isin(*ASSET_TYPES))
+    )
+
+
+def check_data_sources(sources: DataFrame) -> DataFrame:
+    """Each data source with ``is_valid``: a name, a score from 0 to 1, a positive rate, no
+    negative delay."""
+    return sources.withColumn(
+        "is_valid",
+        _all(
+            F.length(F.trim("name")) > 0,
+            _optional("reliability_score", F.col("reliability_score").between(0, 1)),
+            _optional("rate_limit_per_minute", F.col("rate_limit_per_minute") > 0),
+            _optional("data_delay_seconds", F.col("data_delay_seconds") >= 0),
+        ),
+    )
+
+
 def check_ticks(ticks: DataFrame) -> DataFrame:
-    """Each tick with ``is_valid``: positive prices, bid not above ask, volume not negative."""
+    """Each tick with ``is_valid``: symbol and time there, positive prices, bid not above
+    ask, volume not negative, and every number an ordinary one."""
     bid, ask = F.col("bid_price"), F.col("ask_price")
     return ticks.withColumn(
         "is_valid",
         _all(
+            *_keys(ticks, "symbol", "time"),
+            *_ordinary("price", "volume", "bid_price", "ask_price"),
             F.col("price") > 0,
             _optional("volume", F.col("volume") >= 0),
             _optional("bid_price", bid > 0),
@@ -108,11 +141,14 @@ def check_ticks(ticks: DataFrame) -> DataFrame:
 
 
 def check_ohlc(bars: DataFrame) -> DataFrame:
-    """Each bar with ``is_valid``: ordered positive prices and a known interval code."""
+    """Each bar with ``is_valid``: symbol and time there, ordered positive prices, every
+    number an ordinary one, and a known interval code."""
     prices = [F.col(c) for c in ("open", "high", "low", "close")]
     return bars.withColumn(
         "is_valid",
         _all(
+            *_keys(bars, "symbol", "time"),
+            *_ordinary("open", "high", "low", "close", "volume"),
             *[p > 0 for p in prices],
             F.col("high") >= F.greatest("open", "close"),
             F.col("low") <= F.least("open", "close"),
@@ -123,11 +159,14 @@ def check_ohlc(bars: DataFrame) -> DataFrame:
 
 
 def check_aggregates(aggregates: DataFrame) -> DataFrame:
-    """Each aggregate row with ``is_valid``: mean between extremes, some rows, known code."""
+    """Each aggregate row with ``is_valid``: entity and time there, mean between extremes,
+    ordinary numbers, some rows, known code."""
     low, mean, high = F.col("min_value"), F.col("avg_value"), F.col("max_value")
     return aggregates.withColumn(
         "is_valid",
         _all(
+            *_keys(aggregates, "entity_id", "time"),
+            *_ordinary("min_value", "avg_value", "max_value"),
             high >= low,
             mean >= low,
             mean <= high,
@@ -221,7 +260,11 @@ def validate_ticks(
     tie: Sequence[str] = (),
     max_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Four issue counts per symbol over the closed range, zeros included."""
+    """Four issue counts per symbol over the closed range, zeros included.
+
+    Ticks of equal time follow each other by price and volume unless ``tie`` says
+    otherwise. A symbol that is asked for by name gets its counts without any tick.
+    """
     rows = pick(within(ticks, start, end, closed=True), symbol, key="symbol").select(
         "symbol", "time", "price", "volume"
     )
@@ -238,6 +281,9 @@ def validate_ticks(
         F.count_if(F.col("volume").isNull()).alias("missing_volume"),
         F.count_if(F.col("price") <= 0).alias("invalid_prices"),
     )
+    if isinstance(symbol, str):
+        asked = ticks.sparkSession.range(1).select(F.lit(symbol).alias("symbol"))
+        counted = asked.join(counted, "symbol", "left").na.fill(0, list(_ISSUES))
     long = counted.unpivot("symbol", list(_ISSUES), "issue_type", "issue_count")
     told = [F.when(F.col("issue_type") == name, text) for name, text in _ISSUES.items()]
     return long.withColumn("description", F.coalesce(*told))

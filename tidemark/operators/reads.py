@@ -24,20 +24,29 @@ def _shape(records: DataFrame, include_metadata: bool) -> DataFrame:
     return records.select(*columns, *(["metadata"] if include_metadata else []))
 
 
+def _paged(
+    rows: DataFrame, order: str | None, key: str, limit: int | None, offset: int = 0
+) -> DataFrame:
+    """A cut needs an order, newest first unless another is given; the whole needs none."""
+    if order is None and (limit is not None or offset):
+        order = "desc"
+    return page(rows, ordered(order, "time", key), limit, offset)
+
+
 def get_records(
     records: DataFrame,
     start: Instant,
     end: Instant,
     entity: str | None = None,
     *,
-    order: str | None = "desc",
+    order: str | None = None,
     limit: int | None = None,
     offset: int = 0,
     include_metadata: bool = False,
 ) -> DataFrame:
     """Rows of one entity, or of all, in ``[start, end)``."""
     rows = _shape(within(pick(records, entity), start, end), include_metadata)
-    return page(rows, ordered(order, "time", "entity_id"), limit, offset)
+    return _paged(rows, order, "entity_id", limit, offset)
 
 
 def get_multi_entity_records(
@@ -46,14 +55,14 @@ def get_multi_entity_records(
     start: Instant,
     end: Instant,
     *,
-    order: str | None = "desc",
+    order: str | None = None,
     limit: int | None = None,
     offset: int = 0,
     include_metadata: bool = False,
 ) -> DataFrame:
     """Rows of several entities; no ids, no rows."""
     rows = _shape(pick(within(records, start, end), ids), include_metadata)
-    return page(rows, ordered(order, "time", "entity_id"), limit, offset)
+    return _paged(rows, order, "entity_id", limit, offset)
 
 
 def get_records_by_entity_type(
@@ -63,7 +72,7 @@ def get_records_by_entity_type(
     start: Instant,
     end: Instant,
     *,
-    order: str | None = "desc",
+    order: str | None = None,
     limit: int | None = None,
     offset: int = 0,
     include_metadata: bool = False,
@@ -71,7 +80,7 @@ def get_records_by_entity_type(
     """Rows of the active entities of a type."""
     wanted = entities.filter((F.col("entity_type") == entity_type) & F.col("is_active"))
     rows = _shape(pick(within(records, start, end), wanted), include_metadata)
-    return page(rows, ordered(order, "time", "entity_id"), limit, offset)
+    return _paged(rows, order, "entity_id", limit, offset)
 
 
 get_multi_entity_data = get_multi_entity_records
@@ -120,7 +129,7 @@ def search_records(
     start: Instant,
     end: Instant,
     *,
-    order: str | None = "desc",
+    order: str | None = None,
     limit: int | None = None,
     offset: int = 0,
 ) -> DataFrame:
@@ -132,7 +141,7 @@ def search_records(
     if search.entity_types:
         wanted = wanted.filter(F.col("entity_type").isin(list(search.entity_types)))
     rows = _shape(pick(rows, wanted), include_metadata=True)
-    return page(rows, ordered(order, "time", "entity_id"), limit, offset)
+    return _paged(rows, order, "entity_id", limit, offset)
 
 
 def get_available_entities(
@@ -193,12 +202,12 @@ def get_ticks(
     end: Instant,
     symbol: str | None = None,
     *,
-    order: str | None = "desc",
+    order: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Ticks of ``[start, end)``."""
     rows = within(pick(ticks, symbol, key="symbol"), start, end)
-    return page(rows, ordered(order, "time", "symbol"), limit)
+    return _paged(rows, order, "symbol", limit)
 
 
 def get_ohlc(
@@ -208,13 +217,13 @@ def get_ohlc(
     end: Instant,
     symbol: str | None = None,
     *,
-    order: str | None = "desc",
+    order: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Bars of one interval code in ``[start, end)``."""
     rows = within(pick(bars, symbol, key="symbol"), start, end)
     rows = rows.filter(F.col("interval_duration") == interval)
-    return page(rows, ordered(order, "time", "symbol"), limit)
+    return _paged(rows, order, "symbol", limit)
 
 
 def get_records_batches(
@@ -228,7 +237,8 @@ def get_records_batches(
 
     One partition is fetched at a time, so the driver never holds the result.
     """
-    rows = get_records(records, start, end, entity, include_metadata=True).toLocalIterator()
+    ordered_rows = get_records(records, start, end, entity, order="desc", include_metadata=True)
+    rows = ordered_rows.toLocalIterator()
     while batch := list(islice(rows, batch_size)):
         yield batch
 

@@ -8,8 +8,11 @@ a map-side aggregate, and enters the slice as extra rows ahead of its own. The
 data itself is shuffled once, by (key, slice).
 
 Keys with at most ``max_rows`` rows stay in one slice and need no carried rows.
-The tables of hot keys and over-full spans have at most ``rows / max_rows`` entries
-each, which bounds what is broadcast.
+The hot keys are counted first, by a job of their own. Up to ``FEW`` of them are
+broadcast and more are joined by a shuffle; without any, nothing is joined at all.
+
+Rows of equal time are put in order by ``tie``, by default by all other columns, so
+that results do not depend on how rows lie in partitions or whether a key is hot.
 """
 
 from __future__ import annotations
@@ -18,13 +21,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 8_000_000
+FEW = 10_000  # rows of a side table that may be broadcast
 _MINUTE = 60_000_000
 _GROUP_LIMIT = 1000
 _SALTS = 256
 
 
+def few_or_all(df: DataFrame, most: int | None = None) -> tuple[DataFrame, bool]:
+    """A side table to join with, and whether it has rows.
+
+    A table of at most ``most`` rows (``FEW``) is fetched, once, and marked for broadcast;
+    a larger one is left as it is, for Spark to join by its size.
+    """
+    most = FEW if most is None else most
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return df, True
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), bool(rows)
+
+
+def total_order(df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str] = ()) -> list[str]:
+    """Time and what settles equal times: the given columns, or else all that can be ordered."""
+    rest = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in (*keys, time) and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    return [time, *(tie or rest)]
+
+
 def with_slices(
     df: DataFrame,
     keys: Sequence[str],
@@ -38,7 +66,7 @@ def with_slices(
     that is over-full nonetheless is cut by minute, and its minutes into as many
     equal parts as the fullest asks for. All of this rests on exact counts, so a
     recomputed branch cuts the same slices. Where no key is hot, all that runs is
-    one count per key: adaptive execution then drops the empty branches.
+    one count per key.
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(time))
@@ -60,8 +88,13 @@ def with_slices(
             ).alias("_minutes"),
         )
     )
+    hot_keys, any_hot = few_or_all(hot_keys)
+    if not any_hot:
+        return df.withColumns(
+            {"_hot": F.lit(None).cast("boolean"), "_slice": F.lit(None).cast("bigint")}
+        )
     full_spans = (
-        present.join(F.broadcast(hot_keys), keys)
+        present.join(hot_keys, keys)
         .groupBy(*keys, span.alias("_span"), "_minute")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .groupBy(*keys, "_span")
@@ -73,14 +106,15 @@ def with_slices(
             F.least(F.ceil(F.col("_most") / max_rows), F.lit(_MINUTE)).alias("_parts"),
         )
     )
+    full_spans, _ = few_or_all(full_spans)
     part = F.floor(F.pmod(micros, F.lit(_MINUTE)) * F.col("_parts") / F.lit(_MINUTE))
     of_part = F.col("_minute") * _MINUTE + part * F.floor(F.lit(_MINUTE) / F.col("_parts"))
     of_span = F.col("_span") * F.col("_minutes") * _MINUTE
     return (
         df.withColumn("_minute", minute)
-        .join(F.broadcast(hot_keys), keys, "left")
+        .join(hot_keys, keys, "left")
         .withColumn("_span", span)
-        .join(F.broadcast(full_spans), [*keys, "_span"], "left")
+        .join(full_spans, [*keys, "_span"], "left")
         .withColumn("_slice", F.coalesce(of_part, of_span))
         .drop("_minute", "_minutes", "_span", "_parts")
     )
@@ -97,13 +131,12 @@ def with_previous(
     """Add struct ``previous``: the given columns of the row before, per key.
 
     NULL for the first row of a key. ``tie`` names further sort columns for rows
-    of equal time.
+    of equal time, by default all others.
     """
-    keys, order = list(keys), [time, *tie]
+    keys, order = list(keys), total_order(df, keys, time, tie)
     sliced = with_slices(df, keys, time, max_rows)
     row = F.struct(*columns)
-    # One max_by per column stays a hash aggregate; over a struct it would sort.
-    newest = F.struct(*order) if tie else F.col(time)
+    newest = F.struct(*order)
     tails = (
         sliced.filter(F.col("_hot"))
         .groupBy(*keys, "_slice")
@@ -139,10 +172,14 @@ def with_history(
 
     Returns the frame, the window partition columns and the window order.
     Copied rows carry ``_carried = true``: compute, then drop them.
+
+    A slice of a hot key is given the last ``rows`` rows of as many slices before it
+    as together hold ``rows`` rows. Which ones follows from the counts per slice; the
+    rows themselves never meet in a task of the key, only in that of the slice.
     """
-    keys, order = list(keys), [time, *tie]
+    keys, order = list(keys), total_order(df, keys, time, tie)
     sliced = with_slices(df, keys, time, max_rows)
-    columns = [c for c in sliced.columns if c != "_hot"]
+    columns = [c for c in sliced.columns if c not in ("_hot", "_slice")]
     newest_first = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c).desc() for c in order])
     tails = (
         sliced.filter(F.col("_hot"))
@@ -150,19 +187,24 @@ def with_history(
         .filter(F.col("_rank") <= rows)
         .drop("_rank", "_hot")
     )
-    in_order = Window.partitionBy(*keys).orderBy(*order)
+    held = sliced.filter(F.col("_hot")).groupBy(*keys, "_slice").agg(
+        F.least(F.count(F.lit(1)), F.lit(rows)).alias("_held")
+    )
+    by_slice = Window.partitionBy(*keys).orderBy("_slice")
+    numbered = held.select(
+        *keys,
+        "_slice",
+        F.row_number().over(by_slice).alias("_number"),
+        F.sum("_held").over(by_slice.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+    )
+    reaching = Window.partitionBy(*keys).orderBy("_upto").rangeBetween(1 - rows, 0)
+    needed = numbered.withColumns(
+        {"_from": F.min("_number").over(reaching), "_reader": F.lead("_slice").over(by_slice)}
+    ).select(*keys, "_reader", F.explode(F.sequence("_from", "_number")).alias("_number"))
     entering = (
-        tails.select(
-            *keys,
-            "_slice",
-            F.lag("_slice").over(in_order).alias("_before"),
-            F.collect_list(F.struct(*[c for c in columns if c not in (*keys, "_slice")]))
-            .over(in_order.rowsBetween(-rows, -1))
-            .alias("_rows"),
-        )
-        .filter(F.col("_before") != F.col("_slice"))
-        .select(*keys, "_slice", F.inline("_rows"))
-        .select(*columns)
+        tails.join(numbered.select(*keys, "_slice", "_number"), [*keys, "_slice"])
+        .join(needed.filter(F.col("_reader").isNotNull()), [*keys, "_number"])
+        .select(*columns, F.col("_reader").alias("_slice"))
     )
     arranged = sliced.drop("_hot").withColumn("_carried", F.lit(False)).unionByName(
         entering.withColumn("_carried", F.lit(True))
@@ -182,9 +224,10 @@ def newest_rows(
     Spark cuts each map task's rows to ``count`` per key before the shuffle, but
     only up to a threshold; beyond it a salted first cut does the same work.
     """
-    order = [F.col(c).desc() for c in (time, *tie)]
+    names = total_order(df, keys, time, tie)
+    order = [F.col(c).desc() for c in names]
     if count > _GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(time, *tie), F.lit(_SALTS))
+        salt = F.pmod(F.xxhash64(*names), F.lit(_SALTS))
         salted = Window.partitionBy(*keys, salt).orderBy(*order)
         df = df.withColumn("rank", F.row_number().over(salted)).filter(F.col("rank") <= count)
     window = Window.partitionBy(*keys).orderBy(*order)

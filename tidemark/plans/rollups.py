@@ -7,6 +7,7 @@ buckets at a time.
 
 from __future__ import annotations
 
+import calendar
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -29,7 +30,16 @@ from tidemark.functions.measures import (
 from tidemark.operators.percentiles import group_with_percentiles
 from tidemark.operators.sequence import HOT_ROWS, with_previous
 from tidemark.schemas import INTERVAL_CODES
-from tidemark.sources.tables import DAY, days_of, drop_days, exists, on_days, replace_days, with_day
+from tidemark.sources.tables import (
+    DAY,
+    days_of,
+    drop_days,
+    exists,
+    on_days,
+    read_days,
+    replace_days,
+    with_day,
+)
 
 TICK_KEYS = ("bucket", "symbol", "exchange", "data_source")
 
@@ -274,25 +284,29 @@ hourly_from_minutes = coarser_bars
 class Rollup:
     """A named rollup and its refresh policy.
 
-    A refresh as of a moment covers ``[moment - start, moment - end)``.
-    ``look_back`` marks rollups whose first bucket needs the price before it, and
-    says how far back that is usually found; ``keep`` limits the source to rows
-    not older than that.
+    A refresh as of a moment covers ``[moment - start, moment - end)``, months and years
+    counted by the calendar. ``look_back`` marks rollups whose first bucket needs the
+    price before it, and says how far back that is usually found; ``keep`` limits the
+    source to rows not older than that.
     """
 
     name: str
     source: str
     width: str
     build: Callable[[DataFrame], DataFrame]
-    start: timedelta
-    end: timedelta
+    start: Width
+    end: Width
     look_back: timedelta | None = None
-    keep: timedelta | None = None
+    keep: Width | None = None
 
 
-def _span(text: str) -> timedelta:
-    width = parse_width(text)
-    return timedelta(days=30) * width.months + timedelta(microseconds=width.micros)
+def before(moment: Instant, span: str | Width) -> datetime:
+    """``moment`` less a span; months and years by the calendar, to the last day at most."""
+    moment, span = instant(moment), parse_width(span)
+    months = moment.year * 12 + moment.month - 1 - span.months
+    year, month = divmod(months, 12)
+    day = min(moment.day, calendar.monthrange(year, month + 1)[1])
+    return moment.replace(year=year, month=month + 1, day=day) - timedelta(microseconds=span.micros)
 
 
 def _define(
@@ -304,7 +318,7 @@ def _define(
     end: str,
     **more: object,
 ) -> tuple[str, Rollup]:
-    return name, Rollup(name, source, width, build, _span(start), _span(end), **more)
+    return name, Rollup(name, source, width, build, parse_width(start), parse_width(end), **more)
 
 
 # Source, width and refresh offsets of the shipped rollups.
@@ -318,11 +332,11 @@ ROLLUPS: dict[str, Rollup] = dict(
         _define("ticks_1day", "price_ticks", "1d", ticks_1day, "1 month", "1 day"),
         _define(
             "ohlc_summary_1hour", "ohlc_data", "1h", ohlc_summary_1hour, "1 day", "1 hour",
-            keep=timedelta(days=365),
+            keep=parse_width("1 year"),
         ),
         _define(
             "ohlc_summary_1day", "ohlc_data", "1d", ohlc_summary_1day, "1 week", "1 day",
-            keep=timedelta(days=730),
+            keep=parse_width("2 years"),
         ),
         _define("ohlc_summary_1week", "ohlc_data", "1w", ohlc_summary_1week, "1 month", "1 week"),
         _define("symbol_daily_stats", "price_ticks", "1d", symbol_daily_stats, "1 week", "1 day"),
@@ -361,8 +375,8 @@ def compute_rollup(
     rows = within(source, start, end)
     if rollup.look_back is None:
         return rollup.build(rows)
-    before = _newest_before(source, rows, start, rollup.look_back)
-    known = rows.drop(DAY).unionByName(before, allowMissingColumns=True)
+    earlier = _newest_before(source, rows, start, rollup.look_back)
+    known = rows.drop(DAY).unionByName(earlier, allowMissingColumns=True)
     return rollup.build(known).filter(F.col("bucket") >= at(start))
 
 
@@ -371,8 +385,9 @@ def _newest_before(
 ) -> DataFrame:
     """Newest time and price before ``start`` of the symbols in ``rows``.
 
-    The days just before the range answer for most symbols. Only for the rest is
-    older history read; when there is no rest, adaptive execution skips it.
+    The days just before the range answer for most symbols. Whether any is missing
+    is asked first; only then is older history read, for the missing ones alone and
+    going back four times as far each time, down to the oldest row.
     """
 
     def newest(ticks: DataFrame) -> DataFrame:
@@ -380,19 +395,34 @@ def _newest_before(
             F.max("time").alias("time"), last_by("price").alias("price")
         )
 
-    edge = instant(start) - look_back
-    recent = newest(within(source, edge, start))
-    missing = rows.select("symbol").distinct().join(recent, "symbol", "left_anti")
-    older = newest(within(source, end=edge).join(missing, "symbol", "left_semi"))
-    return recent.unionByName(older)
+    high, low = instant(start), instant(start) - look_back
+    wanted = rows.select("symbol").filter(F.col("symbol").isNotNull()).distinct()
+    found = newest(within(source, low, high))
+    oldest = None
+    while True:
+        missing = wanted.join(found, "symbol", "left_anti")
+        if not missing.head(1):
+            return found
+        if oldest is None:
+            oldest = source.agg(F.unix_micros(F.min("time"))).first()[0]
+        if oldest is None or low <= datetime(1970, 1, 1) + timedelta(microseconds=oldest):
+            return found
+        high, low = low, low - 4 * (instant(start) - low)
+        part = within(source, low, high).join(missing, "symbol", "left_semi")
+        found = found.unionByName(newest(part))
 
 
 def rollup_all(rollup: Rollup, source: DataFrame, as_of: Instant) -> DataFrame:
     """The whole rollup, over the part of the source it is defined on."""
-    if rollup.keep is not None:
-        start = instant(as_of).replace(hour=0, minute=0, second=0, microsecond=0) - rollup.keep
-        source = within(source, start)
-    return rollup.build(source)
+    return rollup.build(_kept(rollup, source, as_of))
+
+
+def _kept(rollup: Rollup, source: DataFrame, as_of: Instant) -> DataFrame:
+    """The part of the source that the rollup is defined on."""
+    if rollup.keep is None:
+        return source
+    midnight = instant(as_of).replace(hour=0, minute=0, second=0, microsecond=0)
+    return within(source, before(midnight, rollup.keep))
 
 
 def refresh_rollup(
@@ -402,19 +432,21 @@ def refresh_rollup(
     path: str,
     start: Instant,
     end: Instant,
+    as_of: Instant | None = None,
 ) -> tuple[datetime, datetime]:
     """Recompute the whole buckets inside ``[start, end)`` of a stored rollup.
 
-    Only the days they lie in are rewritten; other buckets of those days are
+    What the rollup is defined on is counted back from ``as_of``, by default ``end``. Only the days they lie in are rewritten; other buckets of those days are
     kept as stored. Returns the range that was refreshed.
     """
     low, high = whole_buckets(start, end, rollup.width)
     if low >= high:
         return low, low
+    source = _kept(rollup, source, end if as_of is None else as_of)
     fresh = compute_rollup(rollup, source, low, high)
     stale_days = []
     if exists(spark, path):
-        stored = spark.read.parquet(path)
+        stored = read_days(spark, path, "bucket")
         days = days_of(within(stored, low, high, time="bucket"), "bucket")
         # Buckets of the touched days that lie outside the range stay as they are.
         touched = sorted({*days, low.date(), high.date()})
@@ -447,8 +479,9 @@ def refresh_due(
             registry[name],
             sources[registry[name].source],
             f"{root.rstrip('/')}/{name}",
-            instant(as_of) - registry[name].start,
-            instant(as_of) - registry[name].end,
+            before(as_of, registry[name].start),
+            before(as_of, registry[name].end),
+            as_of,
         )
         for name in (names or registry)
     }
@@ -490,7 +523,7 @@ def continuous_aggregate_read(
 ) -> DataFrame:
     """Buckets of a stored rollup in ``[start, end)``."""
     _check_name(name)
-    rows = within(spark.read.parquet(f"{root.rstrip('/')}/{name}"), start, end, time="bucket")
+    rows = within(read_days(spark, f"{root.rstrip('/')}/{name}", "bucket"), start, end, time="bucket")
     return page(rows.drop(DAY), ordered(order, "bucket"), limit, offset)
 
 

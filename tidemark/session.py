@@ -43,14 +43,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only for a local master, where driver and
+    A machine-local folder is made only for a ``local[...]`` master, where driver and
     executors are the same process.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return context.getCheckpointDir()
@@ -59,9 +59,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created or cleared."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def use_shared_checkpoints(spark: SparkSession) -> None:
-    """Let ``checkpoint()`` write to the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

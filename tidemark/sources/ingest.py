@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from time import perf_counter
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -17,13 +18,15 @@ from tidemark.operators.quality import (
     check_ohlc,
     check_ticks,
     derive_ohlc_columns,
+    split_valid,
     split_valid_entities,
     with_record_reason,
 )
-from tidemark.session import use_shared_checkpoints
+from tidemark.session import scratch_path
 from tidemark.sources.tables import (
     append_days,
     days_of,
+    drop_folder,
     exists,
     on_days,
     replace_days,
@@ -58,11 +61,17 @@ def merge_rows(
 ) -> DataFrame:
     """Existing rows with incoming ones put over them, one row per key.
 
-    Among incoming rows of the same key the last by ``sequence`` wins. The rank
-    limit also runs before the shuffle, so many copies of a key travel as few.
+    Among incoming rows of the same key the last by ``sequence`` wins, and of equal
+    ones that with the largest values, so that a replay stores the same row. Columns
+    that the stored table lacks are refused rather than lost. The rank limit also
+    runs before the shuffle, so many copies of a key travel as few.
     """
+    unknown = sorted({*incoming.columns} - {*existing.columns, *sequence})
+    if unknown:
+        raise ValueError(f"the stored table has no columns {', '.join(unknown)}")
+    values = [c for c in existing.columns if c not in key and c in incoming.columns]
     latest = Window.partitionBy(*key).orderBy(
-        F.col("_new").desc(), *[F.col(c).desc() for c in sequence]
+        F.col("_new").desc(), *[F.col(c).desc() for c in (*sequence, *values)]
     )
     both = incoming.withColumn("_new", F.lit(True)).unionByName(
         existing.withColumn("_new", F.lit(False)), allowMissingColumns=True
@@ -81,9 +90,14 @@ def upsert_days(
     sequence: Sequence[str] = (),
     time: str = "time",
 ) -> None:
-    """Merge rows into a stored table, rewriting only the days they touch."""
+    """Merge rows into a stored table, rewriting only the days they touch.
+
+    A row without one of its key columns belongs to no key and fails the write.
+    """
     spark = incoming.sparkSession
-    incoming = with_day(incoming, time)
+    lacking = reduce(Column.__or__, [F.col(c).isNull() for c in key])
+    refused = F.raise_error(F.lit(f"a row lacks one of its key columns {', '.join(key)}"))
+    incoming = with_day(incoming, time).filter(F.when(lacking, refused.cast("boolean")).otherwise(True))
     if exists(spark, path):
         existing = on_days(spark.read.parquet(path), days_of(incoming, time))
     else:
@@ -94,15 +108,24 @@ def upsert_days(
 def insert_records(
     records: DataFrame, path: str, *, upsert: bool = False, sequence: Sequence[str] = ()
 ) -> None:
-    """Store valid records: plain append, or last write wins per entity and time."""
-    if upsert:
-        upsert_records(records, path, sequence)
-    else:
-        append_days(records, path)
+    """Store the valid ones of the records: plain append, or last write wins per key.
+
+    Both judge each row by the same rules as :func:`insert_many`, which also counts
+    and keeps what is refused.
+    """
+    good, _ = split_valid(records)
+    _store(good, path, upsert, sequence)
 
 
 def upsert_records(records: DataFrame, path: str, sequence: Sequence[str] = ()) -> None:
-    upsert_days(records, path, RECORD_KEY, sequence)
+    insert_records(records, path, upsert=True, sequence=sequence)
+
+
+def _store(good: DataFrame, path: str, upsert: bool, sequence: Sequence[str]) -> None:
+    if upsert:
+        upsert_days(good, path, RECORD_KEY, sequence)
+    else:
+        append_days(good, path)
 
 
 def insert_many(
@@ -116,9 +139,9 @@ def insert_many(
 ) -> BatchResult:
     """Validate a batch of any size, store what is valid and count both sides.
 
-    The batch is typed and judged once and kept in the shared checkpoint folder,
-    so the source is read once and all writes see the same verdict; the counts
-    are observed on the way.
+    The batch is typed and judged once and written to the shared folder, so the
+    source is read once and all writes see the same verdict; the counts are observed
+    on the way. The written batch goes when both sides are stored.
     """
     began = perf_counter()
     seen = Observation()
@@ -127,13 +150,13 @@ def insert_many(
         F.count_if(F.col(REASON).isNull()).alias("good"),
         F.count_if(F.col(REASON).isNotNull()).alias("bad"),
     )
-    use_shared_checkpoints(raw.sparkSession)
-    judged = judged.checkpoint(eager=True)
-    insert_records(
-        judged.filter(F.col(REASON).isNull()).drop(REASON), path, upsert=upsert, sequence=sequence
-    )
+    spark, staged = raw.sparkSession, scratch_path(raw.sparkSession, "batch")
+    judged.write.parquet(staged)
+    judged = spark.read.schema(judged.schema).parquet(staged)
+    _store(judged.filter(F.col(REASON).isNull()).drop(REASON), path, upsert, sequence)
     if rejects_path is not None:
         judged.filter(F.col(REASON).isNotNull()).write.mode("append").parquet(rejects_path)
+    drop_folder(spark, staged)
     counts = seen.get
     result = BatchResult(counts["good"], counts["bad"], (perf_counter() - began) * 1000)
     if strict and result.failed:

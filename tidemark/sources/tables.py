@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.functions.instants import PARTITION_OF
 
 DAY = "day"
 
@@ -23,13 +24,23 @@ def _with_day(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(DAY, T.DateType(), True)])
 
 
+def _marked(df: DataFrame, time: str) -> DataFrame:
+    """Say of the day column that it is a partition made from ``time``."""
+    return df.withMetadata(DAY, {PARTITION_OF: time}) if DAY in df.columns else df
+
+
+def read_days(spark: SparkSession, path: str, time: str = "time") -> DataFrame:
+    """A day-partitioned table with the columns it was stored with."""
+    return _marked(spark.read.parquet(path), time)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A table with a known schema: no inference pass over the files."""
     return spark.read.schema(schema).parquet(path)
 
 
 def load_records(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, _with_day(schemas.RECORDS))
+    return _marked(read_table(spark, path, _with_day(schemas.RECORDS)), "time")
 
 
 def load_entities(spark: SparkSession, path: str) -> DataFrame:
@@ -37,15 +48,15 @@ def load_entities(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_ticks(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, _with_day(schemas.TICKS))
+    return _marked(read_table(spark, path, _with_day(schemas.TICKS)), "time")
 
 
 def load_ohlc(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, _with_day(schemas.OHLC))
+    return _marked(read_table(spark, path, _with_day(schemas.OHLC)), "time")
 
 
 def load_aggregates(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, _with_day(schemas.AGGREGATES))
+    return _marked(read_table(spark, path, _with_day(schemas.AGGREGATES)), "time")
 
 
 def load_symbols(spark: SparkSession, path: str) -> DataFrame:
@@ -103,20 +114,40 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(root) and bool(system.listStatus(root))
 
 
-def stored_days(spark: SparkSession, path: str) -> list[date]:
-    """The day partitions of a table, read from its folder names."""
+def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """The names below a path that begin so; none where there is no such path."""
     root, system = _files(spark, path)
     if not system.exists(root):
         return []
     names = [status.getPath().getName() for status in system.listStatus(root)]
+    return sorted(name for name in names if name.startswith(prefix))
+
+
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """The day partitions of a table, read from its folder names."""
     prefix = f"{DAY}="
     return sorted(
         date.fromisoformat(name.removeprefix(prefix))
-        for name in names
-        if name.startswith(prefix) and name != f"{prefix}__HIVE_DEFAULT_PARTITION__"
+        for name in folders(spark, path, prefix)
+        if name != f"{prefix}__HIVE_DEFAULT_PARTITION__"
     )
 
 
+def day_bytes(spark: SparkSession, path: str, days: Sequence[date]) -> dict[date, int]:
+    """Stored bytes of each day, from the file listing."""
+    found = {}
+    for day in days:
+        folder, system = _files(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
+        found[day] = sum(f.getLen() for f in system.listStatus(folder) if f.getPath().getName()[0] not in "_.")
+    return found
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder that the library itself wrote, wherever it is stored."""
+    folder, system = _files(spark, path)
+    return bool(system.delete(folder, True))
+
+
 def drop_days(spark: SparkSession, path: str, days: Sequence[date]) -> int:
     """Remove whole day partitions without reading them; returns how many."""
     dropped = 0

@@ -20,8 +20,8 @@ from tidemark.functions.measures import VALUE_COLUMNS, first_by, last_by
 from tidemark.operators.quality import REASON, with_record_reason
 from tidemark.operators.reads import Bounds, threshold_alerts
 from tidemark.plans.rollups import ohlcv_columns
-from tidemark.sources.ingest import upsert_records
-from tidemark.sources.tables import exists
+from tidemark.sources.ingest import RECORD_KEY, merge_rows, upsert_days
+from tidemark.sources.tables import DAY, drop_folder, exists, folders, load_records
 
 
 def read_stream(
@@ -131,20 +131,22 @@ def stream_ingest(
     checkpoint: str,
     *,
     rejects_path: str | None = None,
-    sequence: Sequence[str] = (),
 ) -> DataStreamWriter:
-    """Validate a stream and merge it into a stored table, batch by batch.
+    """Validate a stream and add it to a stored table, batch by batch.
 
-    Merging is by key, so a batch replayed after a failure changes nothing.
-    Rejects are written under their batch number and so replaced on a replay.
+    A batch is written, by its number, beside the days of the table, so a trigger
+    writes what arrived and nothing else, and a batch replayed after a failure takes
+    its own place. :func:`merged_records` reads both; :func:`fold_pending` merges the
+    pending batches into the days, as often as suits. Rejects go by batch number too.
     """
 
     def store(batch: DataFrame, number: int) -> None:
         judged = with_record_reason(batch).persist()
-        upsert_records(judged.filter(F.col(REASON).isNull()).drop(REASON), path, sequence)
+        good = judged.filter(F.col(REASON).isNull()).drop(REASON)
+        good.write.mode("overwrite").parquet(f"{pending_path(path)}/{BATCH}={number}")
         if rejects_path is not None:
             refused = judged.filter(F.col(REASON).isNotNull())
-            refused.write.mode("overwrite").parquet(f"{rejects_path}/batch={number}")
+            refused.write.mode("overwrite").parquet(f"{rejects_path}/{BATCH}={number}")
         judged.unpersist()
 
     return (
@@ -154,39 +156,60 @@ def stream_ingest(
     )
 
 
-def stream_latest(
-    records: DataFrame, path: str, checkpoint: str, *, parts: int = 64
-) -> DataStreamWriter:
-    """Keep a table of the newest row per entity.
+BATCH = "batch"
+
+
+def pending_path(path: str) -> str:
+    """Where batches of a table wait that are not yet merged into its days."""
+    return f"{path.rstrip('/')}-pending"
+
 
-    Each batch is summed up to one row per entity and merged into the hash parts
-    it touches; the table itself is the state, so none is held in memory.
+def merged_records(spark: SparkSession, path: str, sequence: Sequence[str] = ()) -> DataFrame:
+    """The table with its pending batches put over it, one row per entity and time.
+
+    Of equal keys the row of the later batch wins, inside a batch the last by ``sequence``.
+    """
+    waiting = exists(spark, pending_path(path))
+    if not waiting:
+        return load_records(spark, path).drop(DAY)
+    pending = spark.read.parquet(pending_path(path))
+    if exists(spark, path):
+        stored = load_records(spark, path).drop(DAY)
+    else:
+        stored = pending.drop(BATCH, *sequence).limit(0)
+    return merge_rows(stored, pending, RECORD_KEY, [BATCH, *sequence])
+
+
+def fold_pending(spark: SparkSession, path: str, sequence: Sequence[str] = ()) -> int:
+    """Merge the batches that wait now into the days they touch; returns how many.
+
+    They go once they are merged. Merging a batch twice changes nothing, so the fold
+    may be repeated after a failure; batches that arrive meanwhile wait for the next.
+    """
+    names = folders(spark, pending_path(path), f"{BATCH}=")
+    if names:
+        number = [int(n.removeprefix(f"{BATCH}=")) for n in names]
+        pending = spark.read.parquet(pending_path(path)).filter(F.col(BATCH).isin(number))
+        upsert_days(pending, path, RECORD_KEY, [BATCH, *sequence])
+        for name in names:
+            drop_folder(spark, f"{pending_path(path)}/{name}")
+    return len(names)
+
+
+def stream_latest(records: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Keep the newest row of every entity.
+
+    Each batch is summed up to one row per entity and written by its number: a trigger
+    writes as much as it brought news, and a replay takes its own place.
+    :func:`load_latest` reads the newest of all batches; :func:`fold_latest` makes one
+    of them, as often as suits.
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        newest = (
-            batch.groupBy("entity_id")
-            .agg(F.max("time").alias("time"), *[last_by(c).alias(c) for c in VALUE_COLUMNS])
-            .withColumn("part", F.pmod(F.hash("entity_id"), F.lit(parts)))
-        )
-        spark = batch.sparkSession
-        if exists(spark, path):
-            touched = [r["part"] for r in newest.select("part").distinct().collect()]
-            stored = spark.read.parquet(path).filter(F.col("part").isin(touched))
-            by_time = Window.partitionBy("entity_id").orderBy(F.col("time").desc())
-            newest = (
-                newest.unionByName(stored)
-                .withColumn("_rank", F.row_number().over(by_time))
-                .filter(F.col("_rank") == 1)
-                .drop("_rank")
-            )
-        (
-            newest.hint("rebalance", F.col("part"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("part")
-            .parquet(path)
+        newest = batch.groupBy("entity_id").agg(
+            F.max("time").alias("time"), *[last_by(c).alias(c) for c in VALUE_COLUMNS]
         )
+        newest.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={number}")
 
     return (
         records.writeStream.foreachBatch(store)
@@ -195,6 +218,42 @@ def stream_latest(
     )
 
 
+def load_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row of every entity over all batches; of equal times the later batch."""
+    newest = Window.partitionBy("entity_id").orderBy(F.desc("time"), F.desc(BATCH))
+    return (
+        spark.read.parquet(path)
+        .withColumn("_rank", F.row_number().over(newest))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank", BATCH)
+    )
+
+
+def fold_latest(spark: SparkSession, path: str) -> int:
+    """Make one batch of those that are there now, under the number of the last; returns how many.
+
+    The earlier ones go afterwards; until then their rows are only read again.
+    """
+    numbers = sorted(int(n.removeprefix(f"{BATCH}=")) for n in folders(spark, path, f"{BATCH}="))
+    if len(numbers) > 1:
+        newest = Window.partitionBy("entity_id").orderBy(F.desc("time"), F.desc(BATCH))
+        (
+            spark.read.parquet(path)
+            .filter(F.col(BATCH).isin(numbers))
+            .withColumn("_rank", F.row_number().over(newest))
+            .filter(F.col("_rank") == 1)
+            .drop("_rank")
+            .withColumn(BATCH, F.lit(numbers[-1]))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH)
+            .parquet(path)
+        )
+        for number in numbers[:-1]:
+            drop_folder(spark, f"{path.rstrip('/')}/{BATCH}={number}")
+    return len(numbers)
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append finished rows of a stream to a Parquet folder, exactly once."""
     return (
