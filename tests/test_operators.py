@@ -332,3 +332,14 @@ def test_top_changes_skip_zero_starts(records):
     df = records(("2024-01-15 10:00", "a", 0.0), ("2024-01-15 11:00", "a", 9.0), ("2024-01-15 10:00", "b", 10.0),
                  ("2024-01-15 11:00", "b", 5.0), ("2024-01-15 10:00", "c", 10.0), ("2024-01-15 11:00", "c", 11.0))
     assert [r["entity_id"] for r in latest.top_changes(df, 5, 24, "2024-01-15 12:00").collect()] == ["b", "c"]
+
+
+def test_indicators_of_one_symbol_look_back_as_far_as_they_must(ticks):
+    rows = [(f"2023-{m:02}-01 00:00:00", "OLD", float(m)) for m in range(1, 13)]
+    rows += [(f"2024-01-{d:02} 00:00:00", "NEW", float(d)) for d in range(1, 29)]
+    some = ticks(*rows)
+    for symbol in ("OLD", "NEW", "NONE"):
+        for count in (3, 11, 40):
+            one = indicators.sma(some, count, "2024-01-28", symbol).collect()
+            every = [r for r in indicators.sma(some, count, "2024-01-28").collect() if r["symbol"] == symbol]
+            assert one == every

@@ -6,10 +6,12 @@ before the shuffle, so their windows never see more than n rows.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.instants import Instant, back, within
+from tidemark.functions.instants import Instant, back, instant, within
 from tidemark.functions.measures import ordered, page, pick, ratio
 from tidemark.operators.sequence import HOT_ROWS, newest_rows, with_history, with_previous
 
@@ -54,8 +56,24 @@ def moving_averages(
 def _newest(
     ticks: DataFrame, count: int, as_of: Instant, symbol: str | None, since: Instant | None
 ) -> DataFrame:
-    """Newest prices up to ``as_of``; ``since`` spares reading older history."""
-    known = pick(within(ticks, since, as_of, closed=True), symbol, key="symbol")
+    """Newest prices up to ``as_of``; ``since`` spares reading older history.
+
+    For one symbol it is found out: the last week is asked first, then four times as far
+    back each time, until there are ``count`` prices or no older ones. For all symbols
+    at once only the caller can know which there are, so without ``since`` all history is read.
+    """
+    known = pick(within(ticks, end=as_of, closed=True), symbol, key="symbol")
+    if since is None and isinstance(symbol, str):
+        low, oldest = back(as_of, days=7), None
+        while within(known, low).limit(count).count() < count:
+            if oldest is None:
+                oldest = known.agg(F.unix_micros(F.min("time"))).first()[0]
+            if oldest is None or low <= datetime(1970, 1, 1) + timedelta(microseconds=oldest):
+                break
+            low = low - 4 * (instant(as_of) - low)
+        else:
+            since = low
+    known = within(known, since)
     return newest_rows(known.select("symbol", "time", "price"), ["symbol"], count)
 
 

@@ -19,6 +19,7 @@ from tidemark.functions.measures import (
     percent_change,
     pick,
 )
+from tidemark.operators.sequence import newest_rows
 
 
 def multi_entity_latest(
@@ -28,9 +29,13 @@ def multi_entity_latest(
     include_metadata: bool = False,
 ) -> DataFrame:
     """The newest row of each entity; entities without rows are absent."""
-    columns = [*VALUE_COLUMNS, *(["metadata"] if include_metadata else [])]
-    return pick(records, ids).groupBy("entity_id").agg(
-        *[last_by(c).alias(c) for c in columns], F.max("time").alias("time")
+    chosen = pick(records, ids)
+    if include_metadata:
+        # Text would turn the aggregate into a sort of all rows; a rank is cut before the shuffle.
+        columns = ["entity_id", *VALUE_COLUMNS, "metadata", "time"]
+        return newest_rows(chosen.select(*columns), ["entity_id"], 1).select(*columns)
+    return chosen.groupBy("entity_id").agg(
+        *[last_by(c).alias(c) for c in VALUE_COLUMNS], F.max("time").alias("time")
     )
 
 
