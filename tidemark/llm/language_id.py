@@ -82,9 +82,10 @@ def profiles(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE) -> lis
     language are gathered. No rows, no languages.
     """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("__n"))
+    sizes = rows.groupBy("lang").count().collect()  # a row per language
     part = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 20)) / (1 << 20)
-    taken = rows.join(sizes, "lang").where(part < sample / F.col("__n")).select("lang", "text")
+    shares = [F.when(F.col("lang") == r["lang"], F.lit(sample / r["count"])) for r in sizes if r["count"] > sample]
+    taken = rows.where(part < F.coalesce(*shares, F.lit(1.0))).select("lang", "text")
     out = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
