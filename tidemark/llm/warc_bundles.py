@@ -32,13 +32,13 @@ from tidemark.session import scratch_path
 FRAME_BYTES = 256 * 1024  # a frame is closed once it holds as much
 BUNDLE_BYTES = 32 * 1024 * 1024  # so is a bundle, compressed
 LEVEL = 3
+RUN = 32  # frames that a reading task takes, on average
 #: Payloads of this many bytes or more are stored once.
 REVISIT_BYTES = 1_000
 
 # Fixed values of the seekable format.
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
-_FOOTER = struct.Struct("<IBI")
-_ENTRY = struct.Struct("<II")
+_FOOTER, _ENTRY = "<IBI", "<II"
 
 _INDEX = (
     "page_id long, url string, record_type string, refers_to long, bundle string, frame int, "
@@ -110,20 +110,21 @@ def parsed_record(data: bytes) -> tuple[dict[str, str], bytes]:
 
 def seek_table(frames: list[tuple[int, int]]) -> bytes:
     """The skippable frame that closes a bundle, from compressed and uncompressed sizes."""
-    entries = b"".join(_ENTRY.pack(*f) for f in frames)
-    body = entries + _FOOTER.pack(len(frames), 0, _SEEKABLE)
+    entries = b"".join(struct.pack(_ENTRY, *f) for f in frames)
+    body = entries + struct.pack(_FOOTER, len(frames), 0, _SEEKABLE)
     return struct.pack("<II", _SKIPPABLE, len(body)) + body
 
 
 def read_seek_table(source, size: int) -> list[tuple[int, int, int]]:
     """Start, compressed and uncompressed size of every frame, from the end of an open file."""
-    source.seek(size - _FOOTER.size)
-    frames, _, magic = _FOOTER.unpack(source.read(_FOOTER.size))
+    footer, entry = struct.calcsize(_FOOTER), struct.calcsize(_ENTRY)
+    source.seek(size - footer)
+    frames, _, magic = struct.unpack(_FOOTER, source.read(footer))
     if magic != _SEEKABLE:
         raise ValueError("no seek table")
-    source.seek(size - _FOOTER.size - frames * _ENTRY.size)
+    source.seek(size - footer - frames * entry)
     table, at = [], 0
-    for packed, plain in _ENTRY.iter_unpack(source.read(frames * _ENTRY.size)):
+    for packed, plain in struct.iter_unpack(_ENTRY, source.read(frames * entry)):
         table.append((at, packed, plain))
         at += packed
     return table
@@ -216,8 +217,10 @@ def read_bundles(index: DataFrame) -> DataFrame:
     bytes and digest are those of the payload it refers to.
     """
     frames = index.groupBy("bundle", "frame").agg(F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("records"))
-    # One frame holds few records; the frames of a bundle stay together and in order.
-    dealt = frames.repartition("bundle", F.floor(F.col("frame") / 16)).sortWithinPartitions("bundle", "frame")
+    # The index is tiny beside what it stands for, so the number of tasks is set by the frames:
+    # their size is bounded, and runs of neighbours stay together and in order.
+    tasks = max(1, -(-frames.count() // RUN))
+    dealt = frames.repartition(tasks, "bundle", F.floor(F.col("frame") / RUN)).sortWithinPartitions("bundle", "frame")
     out = pa.schema(
         [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
          ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]
