@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 from time import perf_counter
 
@@ -89,17 +90,19 @@ def upsert_days(
     key: Sequence[str],
     sequence: Sequence[str] = (),
     time: str = "time",
+    days: Sequence[date] | None = None,
 ) -> None:
     """Merge rows into a stored table, rewriting only the days they touch.
 
-    A row without one of its key columns belongs to no key and fails the write.
+    ``days`` spares finding those out, where the caller knows them or some more. A row without one of its key columns belongs to no key and fails the write.
     """
     spark = incoming.sparkSession
     lacking = reduce(Column.__or__, [F.col(c).isNull() for c in key])
     refused = F.raise_error(F.lit(f"a row lacks one of its key columns {', '.join(key)}"))
     incoming = with_day(incoming, time).filter(F.when(lacking, refused.cast("boolean")).otherwise(True))
     if exists(spark, path):
-        existing = on_days(spark.read.parquet(path), days_of(incoming, time))
+        touched = days_of(incoming, time) if days is None else days
+        existing = on_days(spark.read.parquet(path), touched)
     else:
         existing = incoming.drop(*sequence).limit(0)
     replace_days(merge_rows(existing, incoming, key, sequence), path, time)
@@ -114,7 +117,11 @@ def insert_records(
     and keeps what is refused.
     """
     good, _ = split_valid(records)
-    _store(good, path, upsert, sequence)
+    if upsert and dict(records.dtypes)["time"] == "timestamp":
+        # The days of all rows hold those of the good ones; no rule has to run for them.
+        upsert_days(good, path, RECORD_KEY, sequence, days=days_of(records))
+    else:
+        _store(good, path, upsert, sequence)
 
 
 def upsert_records(records: DataFrame, path: str, sequence: Sequence[str] = ()) -> None:
