@@ -4,10 +4,12 @@ import hashlib
 
 import brute
 import pytest
+from oracle import compare
 
 from tidemark.llm import decontamination
 from tidemark.llm.decontamination import contained_items, decontaminated
 from tidemark.llm.license_scan import SENTENCES, identifier, identifiers, matched, scan_licenses
+from tidemark.llm.queries import QUERIES, SQL
 from tidemark.llm.secret_scan import base_spans, redacted, scan_secrets
 from tidemark.llm.toxicity import labelled, scored, trained
 
@@ -97,6 +99,27 @@ def test_containment_matches_brute_force(spark, prose, monkeypatch, broadcast):
         assert contained_items(d.limit(0), b).count() == contained_items(d, b.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_short_items_in_full_documents_match_the_sql(spark, prose, monkeypatch, tmp_path, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    items = {10 * n + k: prose(n, 7000 + 10 * n + k) for n in range(5, 16) for k in range(10)}
+    docs = {}
+    for item, text in items.items():
+        for size in (16, 64, 256):  # shingles: as many as the partition takes
+            rest = prose(size + 4 - len(text.split(" ")), 9000 + 1000 * size + item).split(" ")
+            at = item % (len(rest) + 1)
+            docs[1000 * size + item] = " ".join([*rest[:at], text, *rest[at:]])
+    spark.createDataFrame(list(docs.items()), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    spark.createDataFrame(list(items.items()), "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "b"))
+    for folder, name in (("d", "documents"), ("b", "benchmark")):
+        next((tmp_path / folder).glob("*.parquet")).rename(tmp_path / f"{name}.parquet")
+    name = "op9_benchmark_decontamination"
+    rows, wrong, _ = compare(spark, QUERIES[name], SQL[name], str(tmp_path))
+    assert rows >= len(docs) and wrong is None
+    assert decontamination.unsigned_up_to(0.8) == 10
+
+
 def test_toxicity_is_learnt_from_documents_and_located(spark, prose):
     def text(i, bad):
         parts = [prose(12, 10 * i + k) for k in range(2 + i % 9)]

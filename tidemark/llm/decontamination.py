@@ -10,7 +10,8 @@ with that partition's bins. A shared shingle is lost only behind another shingle
 bin, so at a load of at most 5/8 it survives with probability above 0.74. A pair is a
 candidate if it agrees in as many bins as that predicts, less five standard deviations and
 at least one, and is decided by exact containment on the full shingle sets. An item of 11
-shingles of which 9 are shared goes unseen with probability under 1e-5.
+shingles of which 9 are shared goes unseen with probability under 1e-5. Shorter items have too
+few shingles for that, so theirs are not signed but met with every shingle of the documents.
 
 All of it is DataFrame expressions. The items' signatures are broadcast only up to
 ``BROADCAST_ROWS`` rows, counted first, and joined by a shuffle beyond.
@@ -18,6 +19,8 @@ All of it is DataFrame expressions. The items' signatures are broadcast only up
 
 from __future__ import annotations
 
+from math import ceil, comb, floor, sqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ WIDTH = 5
 CONTAINMENT = 0.8
 BROADCAST_ROWS = 500_000  # of a long, an int and an item's id each
 SURVIVES = 0.74  # least probability that a shared shingle is the least of its bin on both sides
+MISSED = 1e-5  # greatest probability that a signed item at the threshold is no candidate
+EVERY = -1  # the partition of items that are met with every shingle
 LAST_PART = 24  # documents of more than 2^24 shingles use its bins
 
 
@@ -71,13 +76,35 @@ def _least_matches(n_item: Column, containment: float) -> Column:
     return F.greatest(F.lit(1), F.floor(expected - 5 * F.sqrt(expected * (1 - SURVIVES))))
 
 
-def _signature(hashes: Column, part: Column) -> Column:
-    """The least hash of every bin; ``hashes`` is sorted, so a bin is a run of it."""
+def unsigned_up_to(containment: float) -> int:
+    """The largest number of shingles of which an item at the threshold is missed too often."""
+
+    def missed(n: int) -> float:
+        shared, expected = max(1, ceil(containment * n)), n * containment * SURVIVES
+        least = max(1, floor(expected - 5 * sqrt(expected * (1 - SURVIVES))))
+        return sum(
+            comb(shared, k) * SURVIVES**k * (1 - SURVIVES) ** (shared - k) for k in range(min(least, shared + 1))
+        )
+
+    n, run = 1, 0  # ``run`` sizes in a row are safe; the share missed falls, but for rounding
+    while run < ceil(10 / containment):
+        run = run + 1 if missed(n) < MISSED else 0
+        n += 1
+    return n - 1 - run
+
+
+def _is_least(hashes: Column, part: Column, h: Column, i: Column) -> Column:
+    """Whether ``h``, at ``i`` of the sorted ``hashes``, is the least of its bin, a run of them."""
 
     def bin_of(h: Column) -> Column:
         return F.call_function("shiftright", h, F.lit(63) - part)
 
-    return F.filter(hashes, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(hashes, i - 1))))
+    return (i == 0) | (bin_of(h) != bin_of(F.get(hashes, i - 1)))
+
+
+def _signature(hashes: Column, part: Column) -> Column:
+    """The least hash of every bin."""
+    return F.filter(hashes, lambda h, i: _is_least(hashes, part, h, i))
 
 
 def item_shingles(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -105,30 +132,44 @@ def contained_items(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
     items = written(item_shingles(benchmark, width), "items")
-    signed = (
-        texts.select("doc_id", shingle_array(F.col("text"), width).alias("s"))
-        .withColumn("part", _part(F.size("s")))
-        .select("doc_id", "part", F.explode(_signature(F.col("s"), F.col("part"))).alias("low"))
-    )
+    short = unsigned_up_to(containment)
     # A document of fewer than containment * n_item shingles cannot hold the item.
     parts = F.explode(F.sequence(F.lit(0), F.lit(LAST_PART), F.lit(2)))
     wanted = (
-        items.select("item_id", "n_item", "shingles", parts.alias("part"))
+        items.where(F.col("n_item") > short)
+        .select("item_id", "n_item", "shingles", parts.alias("part"))
         .where((F.col("part") == LAST_PART) | (containment * F.col("n_item") <= F.pow(F.lit(2), "part")))
         .select("item_id", "part", F.explode(_signature(F.col("shingles"), F.col("part"))).alias("low"))
     )
-    wanted = written(wanted, "signatures")
-    if wanted.count() <= BROADCAST_ROWS:
+    whole = items.where(F.col("n_item") <= short).select(
+        "item_id", F.lit(EVERY).alias("part"), F.explode("shingles").alias("low")
+    )
+    wanted = written(wanted.unionByName(whole).distinct(), "signatures")
+    counts = {r.whole: r.n for r in wanted.groupBy((F.col("part") == EVERY).alias("whole")).agg(F.count("*").alias("n")).collect()}
+    sets = texts.select("doc_id", shingle_array(F.col("text"), width).alias("s")).withColumn("part", _part(F.size("s")))
+    s, part = F.col("s"), F.col("part")
+    if counts.get(True):
+        every = F.transform(s, lambda h, i: F.struct(h.alias("low"), _is_least(s, part, h, i).alias("least")))
+        signed = sets.select("doc_id", "part", F.inline(every))
+    else:
+        signed = sets.select("doc_id", "part", F.explode(_signature(s, part)).alias("low"), F.lit(True).alias("least"))
+    if sum(counts.values()) <= BROADCAST_ROWS:
         by_hash = wanted.groupBy("low").agg(F.collect_set(F.struct("part", "item_id")).alias("held"))
         met = signed.join(F.broadcast(by_hash), "low").select(
-            "doc_id", "part", F.explode("held").alias("h")
+            "doc_id", "part", "least", F.explode("held").alias("h")
         )
-        met = met.where("part = h.part").select("doc_id", F.col("h.item_id").alias("item_id"))
+        met = met.where((F.col("h.part") == EVERY) | (F.col("least") & (F.col("part") == F.col("h.part"))))
+        met = met.select("doc_id", F.col("h.item_id").alias("item_id"))
     else:
-        met = signed.join(wanted, ["low", "part"]).select("doc_id", "item_id")
+        held = wanted.withColumnRenamed("part", "held")
+        met = signed.join(held, "low").where((F.col("held") == EVERY) | (F.col("least") & (F.col("part") == F.col("held"))))
+        met = met.select("doc_id", "item_id")
     met = met.groupBy("doc_id", "item_id").agg(F.count("*").alias("matches"))
     met = met.join(items.select("item_id", "n_item"), "item_id")
-    met = met.where(F.col("matches") >= _least_matches(F.col("n_item"), containment)).select("doc_id", "item_id")
+    enough = F.when(F.col("n_item") <= short, containment * F.col("n_item")).otherwise(
+        _least_matches(F.col("n_item"), containment)
+    )
+    met = met.where(F.col("matches") >= enough).select("doc_id", "item_id")
     met = written(met.distinct(), "candidates")
 
     candidate = met.select("doc_id").distinct()
