@@ -66,6 +66,38 @@ def test_blocks_of_a_bucket_find_all_links(spark, prose, edited, monkeypatch):
     assert got == brute.near_duplicates(texts, 2)
 
 
+def test_blocks_are_bounded_in_documents(spark, prose, edited, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "_BLOCK_DOCS", 12)
+    base = prose(120, 1)
+    texts = {k: edited(base, 9 + k % 16, k) for k in range(60)}  # near copies, and copies that are too far off
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    taken = []
+    pieces = minhash_dedup._pieces
+
+    def seen(member, buckets):
+        taken.append(pieces(member, buckets).groupBy("key", "i", "j").count().collect())
+        return pieces(member, buckets)
+
+    monkeypatch.setattr(minhash_dedup, "_pieces", seen)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, 2).collect()}
+    assert got == brute.near_duplicates(texts, 2)
+    assert taken[0] and max(r["count"] for r in taken[0]) <= 2 * 2 * 12
+
+
+def test_comparing_a_block_takes_little_memory():
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 2**60, 4, dtype=np.uint64)) for _ in range(3_000)]
+    sets[2_999], sets[300] = sets[17], sets[1_200]
+    tracemalloc.start()
+    found = minhash_dedup._spanning_links(sets, np.arange(3_000), 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(17, 2_999), (300, 1_200)]
+    assert peak < 10 * 3_000**2  # bytes a pair; whole matrices took about 25
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -9,9 +9,11 @@ on the full shingle sets. With 42 bands of 6, a pair at similarity 0.8 misses ev
 with probability 3e-6.
 
 What keeps it linear: documents with equal sets stand for one another, so copies never
-meet; in a bucket every member is compared with the least one; only buckets whose members
-are then still in different components compare the rest, inside a task, on blocks of
-bounded size, and return a spanning forest of the links rather than all of them.
+meet; in a bucket every member is compared with the least one; large buckets whose members
+are then still in different components compare all with further heads, picked outside the
+largest component, as long as that finds links. What is left is compared inside a task, on
+blocks bounded in shingles and documents, pairs within the largest component left out, and
+returns a spanning forest of the links rather than all of them.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ BINS = BANDS * ROWS
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ELEMENTS = 1 << 18  # shingles sketched at a time
 _BLOCK = 1 << 20  # shingles of one block of a bucket
+_BLOCK_DOCS = 2_000  # documents of one block of a bucket
+_TILE = 256  # rows of a block compared at a time
+_HEADS = 6  # further heads of a large bucket
 
 
 def similarity_sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
@@ -153,14 +158,18 @@ def _spanning_links(sets: list[np.ndarray], labels: np.ndarray, percent: int) ->
         low, high = np.searchsorted(column, [first, first + width])
         dense = np.zeros((len(sets), width), dtype=np.float32)
         dense[owner[low:high], column[low:high] - first] = 1
-        common += dense @ dense.T
+        for at in range(0, len(sets), _TILE):
+            common[at : at + _TILE] += dense[at : at + _TILE] @ dense.T
     links = []
-    union = size[:, None] + size[None, :] - common
-    for i, j in zip(*np.nonzero(np.triu(100 * common >= percent * union, 1)), strict=True):
-        a, b = find(int(labels[i])), find(int(labels[j]))
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            links.append((int(i), int(j)))
+    for at in range(0, len(sets), _TILE):
+        rows = common[at : at + _TILE]
+        union = size[at : at + _TILE, None] + size[None, :] - rows
+        for i, j in zip(*np.nonzero(np.triu(100 * rows >= percent * union, at + 1)), strict=True):
+            i = i + at
+            a, b = find(int(labels[i])), find(int(labels[j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                links.append((int(i), int(j)))
     return links
 
 
@@ -221,20 +230,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = written(_verified(spokes, sets, percent), "links")
     first = components(links)
 
-    member = shared.where("members > 2").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed_up = (
-        member.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("total"))
-        .where("low <> high")
-        .select("key", F.ceil(F.col("total") / _BLOCK).cast("int").alias("blocks"))
-    )
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    pieces = (
-        member.join(mixed_up, "key")
-        .withColumn("mine", block)
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("key", "id", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    )
+    member, buckets = _unsettled(shared, first, 0)
+    for turn in range(1, _HEADS + 1):
+        large = buckets.where("main_blocks + rest_blocks > 2")
+        if not large.head(1):
+            break
+        more = (
+            member.join(large, "key")
+            .where("component <> pick.component")
+            .where(100 * F.least("n", "pick.n") >= percent * F.greatest("n", "pick.n"))
+            .select(F.col("id").alias("a"), F.col("pick.id").alias("b"))
+            .distinct()
+        )
+        more = written(_verified(more, sets, percent), "links")
+        if not more.head(1):
+            break
+        links = links.unionByName(more)
+        first = components(links)
+        member, buckets = _unsettled(shared, first, turn)
+    pieces = _pieces(member, buckets)
     late = (
         pieces.join(sets, "id")
         .groupBy("key", "i", "j")
@@ -252,6 +266,57 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
+def _unsettled(shared: DataFrame, found: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets with their components, and the buckets that hold several components.
+
+    ``main`` is the bucket's largest component, ``pick`` a member outside it, another one each
+    ``turn``; the blocks of both sides are bounded in shingles and in documents.
+    """
+    member = shared.where("members > 2").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sides = member.groupBy("key", "component").agg(
+        F.count("*").alias("docs"),
+        F.sum("n").alias("total"),
+        F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "n", "component")).alias("pick"),
+    )
+    main = sides.groupBy("key").agg(
+        F.max_by(F.struct("component", "docs", "total"), F.struct("docs", -F.col("component"))).alias("main"),
+        F.count("*").alias("several"),
+    )
+    main = main.where("several > 1").select("key", "main")
+
+    def blocks(docs, total):
+        return F.ceil(F.greatest(docs / _BLOCK_DOCS, total / _BLOCK)).cast("int")
+
+    rest = sides.join(main, "key").where("component <> main.component").groupBy("key", "main")
+    buckets = rest.agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"), F.min("pick").alias("pick")).select(
+        "key",
+        F.col("main.component").alias("main"),
+        "pick",
+        blocks(F.col("main.docs"), F.col("main.total")).alias("main_blocks"),
+        blocks(F.col("docs"), F.col("total")).alias("rest_blocks"),
+    )
+    return member, written(buckets, "unsettled")
+
+
+def _pieces(member: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``key, id, component, i, j``: a row for every pair of blocks a member is compared in.
+
+    Pairs of two blocks of the largest component are left out, for they are linked already, and a
+    block alone, for it is compared within itself along with any other.
+    """
+    spread = F.xxhash64("id")
+    mine = F.when(F.col("component") == F.col("main"), F.pmod(spread, F.col("main_blocks"))).otherwise(
+        F.col("main_blocks") + F.pmod(spread, F.col("rest_blocks"))
+    )
+    return (
+        member.join(buckets, "key")
+        .withColumn("mine", mine.cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, main_blocks + rest_blocks - 1)")))
+        .where("greatest(mine, other) >= main_blocks AND mine <> other")
+        .select("key", "id", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    )
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
