@@ -67,6 +67,49 @@ def test_licence_sentences_and_rules():
     assert [n for n, _, _ in matched(identifiers(cut))] == ["incomplete", "incomplete"]
 
 
+STANDARD = {
+    "GPL-3.0-or-later": "# Copyright (C) 2020 A. Person\n#\n# This program is free software: you can redistribute it and/or modify\n"
+    "# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of "
+    "the License, or\n# (at your option) any later version.\n#\n# This program is distributed in the hope that it will be useful.",
+    "MPL-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was "
+    "not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance '
+    "with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required",
+}
+
+
+def test_every_rule_fires_on_its_own_text():
+    from tidemark.llm.license_scan import RULES
+
+    for licence, names in RULES:
+        text = "\n\n".join(SENTENCES[n] + "." for n in names)
+        assert [n for n, _, _ in matched(identifiers(text))] == [licence], names
+    for licence, text in STANDARD.items():
+        assert [n for n, _, _ in matched(identifiers(text))] == [licence]
+    assert [n for _, _, _, n in identifiers(STANDARD["Apache-2.0"])] == ["apache_2", "apache_copy"]
+
+
+@pytest.mark.parametrize(
+    ("text", "licences"),
+    [
+        ("Licensed under the GPLv3.", ["GPL-3.0"]),
+        ("Distributed under the terms of the GNU General Public License v3.0.", ["GPL-3.0"]),
+        ("Distributed under the GNU GPL version 2\nor (at your option) any later version.", ["GPL-2.0-or-later"]),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", ["GPL-2.0-or-later"]),
+        ("# SPDX-License-Identifier: LGPL-2.1-only", ["LGPL-2.1-only"]),
+        ("SPDX-License-Identifier: Apache-2.0 OR MIT\n", ["Apache-2.0", "MIT"]),
+        ("SPDX-License-Identifier: (MIT AND BSD-3-Clause)", ["BSD-3-Clause", "MIT"]),
+        ("Released under the MIT License, see LICENSE for details.", ["MIT"]),
+        ("Released under MIT (see LICENSE).", ["MIT"]),
+        ("This file is licensed under the Mozilla Public License, v. 2.0.", ["MPL-2.0"]),
+        ("Released under MIT\nDocs are free. This text is licensed under CC BY-SA 4.0 International", ["MIT", "CC-BY-SA-4.0"]),
+        ("The programs are available under MIT supervision, licensed under the Apache License 1.1.", []),
+    ],
+)
+def test_statements_as_they_are_written(text, licences):
+    assert [n for n, _, _ in matched(identifiers(text + " licence"))] == licences
+
+
 def test_licences_of_documents(spark):
     line = "Released under the MIT License."
     rows = [(1, f"prose here\n{line}\nmore. {line}"), (2, "a license to speak freely."), (3, None), (4, ""), (None, line)]

@@ -117,7 +117,10 @@ RULES = [
 ]
 
 _HINT = re.compile(r"(?i)licen[sc]e|copyright|permission|redistribut|public domain|spdx|free software|warranty")
-_SPLIT = re.compile(r"(?:[.!?:](?=\s|$)|\n[ \t#*/;-]*\n)")
+# A sentence does not end in "v. 2.0" or after an SPDX tag.
+_SPLIT = re.compile(
+    r"(?:(?!(?<=\b[vV])\.\s+[0-9])[.!?](?=\s|$)|(?<!(?i:spdx-license-identifier)):(?=\s|$)|\n[ \t#*/;-]*\n)"
+)
 _COMMENT = re.compile(r"(?m)^[ \t]*(?:[#*;]+|//+|--+|<!--)?[ \t]*")
 _DROPPED = re.compile(r"[^a-z0-9.+ ]+")
 _NUMBERED = re.compile(r"^(?:\(?[0-9a-z]\)?[.)] |[0-9] )")
@@ -127,7 +130,12 @@ _STATEMENT = re.compile(
     r"(?:the )?(?:terms of )?(?:the )?(?P<name>.+)$"
 )
 _SPDX = re.compile(r"^spdx license identifier (?P<name>.+)$")
-_FILLER = re.compile(r"\b(?:licen[sc]e|version|v)\b\.? ?|\binternational\b")
+_OPENS = re.compile(r"(?:this|the|dual|released|licensed|distributed|available|published|provided|made|spdx)\b")
+_CUT = re.compile(r"[,;(]|\s[-\u2013\u2014]+\s")
+_FILLER = {"license", "licenses", "version", "v", "international", "gnu"}
+_LATER = re.compile(r"(?:(?:license|version) )*(?:(?P<only>only)|(?:or )?(?:at your option )?any later|or (?:at your option )?(?:any )?(?:later|newer)|\+)(?: version)?(?: |$)")
+#: Lines that a statement may take.
+_LINES = 4
 
 
 def normalised(sentence: str) -> str:
@@ -138,53 +146,133 @@ def normalised(sentence: str) -> str:
     return _NUMBERED.sub("", text)
 
 
-def _named(name: str) -> str | None:
-    """The licence that a statement's object names."""
-    plain = re.sub(r"\bv(?=[0-9])", "", name)
-    plain = " ".join(_FILLER.sub(" ", plain).split())
-    return NAMES.get(plain) or _TAGS.get(name.replace(" ", ""))
+def _words(name: str) -> list[str]:
+    """The words of a normalised name, versions in one spelling."""
+    plain = re.sub(r"\b([al]?gpl|mpl|epl|apache)v?(?=[0-9])", r"\1 ", name)
+    plain = re.sub(r"\bv(?=[0-9])", "", plain)
+    plain = re.sub(r"\b([0-9]+)\.0\b(?!\.?[0-9])", r"\1", plain)
+    return [w.rstrip(".") for w in re.sub(r"(?<=[0-9])\+", " +", plain).split() if w.rstrip(".")]
+
+
+_NAMED = {
+    tuple(w for w in _words(normalised(name)) if w not in _FILLER): tag
+    for name, tag in [*NAMES.items(), *((tag, tag) for tag in NAMES.values())]
+}
+_LONGEST = max(map(len, _NAMED))
+
+
+def _named(name: str) -> tuple[list[str], bool, bool]:
+    """The licences that a statement's object begins with; whether that is all of it, or beyond doubt.
+
+    Names joined by "or" and "and" are all taken. A name is beyond doubt if it has a version or
+    the word licence with it, so that other words may follow.
+    """
+    words, found, sure, at = _words(name), [], True, 0
+    while True:
+        start = at
+        while start < len(words) and words[start] in {"a", "an", "the", "either", "both"}:
+            start += 1
+        best, taken, i = None, [], start
+        while i < len(words) and len(taken) < _LONGEST:
+            if words[i] not in _FILLER:
+                taken.append(words[i])
+                if tuple(taken) in _NAMED:
+                    best = (_NAMED[tuple(taken)], i + 1)
+            i += 1
+        if not best:
+            return found, False, sure
+        tag, end = best
+        later = _LATER.match(" ".join(words[end:]))
+        if later:
+            end += len(later[0].split())
+            tag += "-only" if later["only"] else "-or-later"
+        while end < len(words) and words[end] in _FILLER:
+            end += 1
+        own = words[start:end]
+        sure = sure and any(w[0].isdigit() or w in ("license", "licenses") for w in own)
+        found.append(tag)
+        at = end
+        while at < len(words) and words[at] in ("or", "and"):
+            at += 1
+        if end == len(words):
+            return found, True, sure
+        if at == end:
+            return found, False, sure
 
 
-_TAGS = {re.sub(r"[^a-z0-9.+]", "", tag.lower()): tag for tag in NAMES.values()}
 _KNOWN = {normalised(text): name for name, text in SENTENCES.items()}
+#: What a known sentence may begin with, for one that the splitter cuts.
+_PREFIXES = {" ".join(plain.split()[:k]).strip(" .") for plain in _KNOWN for k in range(1, len(plain.split()) + 1)}
 
 
 def identifier(sentence: str) -> str | None:
-    """The identifier of a known licence sentence; ``=X`` for a statement that names licence X."""
+    """The identifier of a known licence sentence; ``=X`` or ``=X Y`` for a statement that names licences."""
     plain = normalised(sentence)
     if plain in _KNOWN:
         return _KNOWN[plain]
-    for pattern in (_STATEMENT, _SPDX):
-        found = pattern.match(plain)
-        licence = _named(found["name"]) if found else None
-        if licence:
-            return f"={licence}"
+    if not _OPENS.match(plain):
+        return None
+    for end in [len(sentence), *(m.start() for m in reversed(list(_CUT.finditer(sentence))))]:
+        plain = normalised(sentence[:end])
+        for pattern in (_STATEMENT, _SPDX):
+            found = pattern.match(plain)
+            licences, whole, sure = _named(found["name"]) if found else ([], False, False)
+            if licences and (whole or sure or pattern is _SPDX):
+                return "=" + " ".join(dict.fromkeys(licences))
     return None
 
 
+def _statement(lines: list[str]) -> tuple[str | None, int]:
+    """The identifier of the statement that begins with the first line, and how many lines it takes."""
+    for most in range(len(lines), 0, -1):
+        known = identifier("\n".join(lines[:most]))
+        if known:
+            return known, next(k for k in range(1, most + 1) if identifier("\n".join(lines[:k])) == known)
+    return None, 1
+
+
 def identifiers(text: str) -> list[tuple[int, int, int, str]]:
     """``number, start, end, identifier`` of the known sentences of a text, in order."""
     if not _HINT.search(text):
         return []
-    found, at, number = [], 0, 0
-    ends = [(m.start(), m.end()) for m in _SPLIT.finditer(text)] + [(len(text), len(text))]
-    for stop, after in ends:
+    pieces, at = [], 0
+    for m in _SPLIT.finditer(text):
+        pieces.append((at, m.start()))
+        at = m.end()
+    pieces.append((at, len(text)))
+    found, number, p = [], 0, 0
+    while p < len(pieces):
+        at, stop = pieces[p]
         whole = text[at:stop]
-        # A sentence ends with its line where the line alone is a statement.
-        known = identifier(whole)
+        # A known sentence may go on over the next cuts.
+        known, last, q, plain = None, p, p, normalised(whole)
+        while plain in _PREFIXES:
+            if plain in _KNOWN and _KNOWN[plain] != known:
+                known, last = _KNOWN[plain], q
+            q += 1
+            if q == len(pieces):
+                break
+            plain = normalised(text[at : pieces[q][1]])
         if known:
-            found.append((number, at + len(whole) - len(whole.lstrip()), stop, known))
+            found.append((number, at + len(whole) - len(whole.lstrip()), pieces[last][1], known))
             number += 1
         else:
-            line_at = at
-            for line in whole.split("\n"):
+            # A statement begins with a line, and ends where its lines say no more.
+            lines, i, line_at = whole.split("\n"), 0, at
+            while i < len(lines):
+                line, taken = lines[i], 1
                 if line.strip():
-                    known = identifier(line) if "\n" in whole else None
+                    plain = normalised(line)
+                    known = _KNOWN.get(plain)
+                    if not known and _OPENS.match(plain):
+                        known, taken = _statement(lines[i : i + _LINES])
                     if known:
-                        found.append((number, line_at + len(line) - len(line.lstrip()), line_at + len(line.rstrip()), known))
+                        said = "\n".join(lines[i : i + taken]).rstrip()
+                        found.append((number, line_at + len(line) - len(line.lstrip()), line_at + len(said), known))
                     number += 1
-                line_at += len(line) + 1
-        at = after
+                line_at += sum(len(each) + 1 for each in lines[i : i + taken])
+                i += taken
+        p = last + 1
     return found
 
 
@@ -204,7 +292,8 @@ def matched(sequence: list[tuple[int, int, int, str]]) -> list[tuple[str, int, i
                     free[k] = False
     for k, (_, start, end, name) in enumerate(sequence):
         if free[k]:
-            found.append((name[1:] if name.startswith("=") else "incomplete", start, end))
+            names = name[1:].split(" ") if name.startswith("=") else ["incomplete"]
+            found += [(licence, start, end) for licence in names]
     return sorted(found, key=lambda f: (f[1], f[2], f[0]))
 
 
@@ -212,7 +301,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """A row per document: ``doc_id, licenses, n_licenses, n_sentences, spans``.
 
     ``licenses`` lists the distinct licences by name, comma-joined, ``incomplete`` standing
-    for known sentences that make no licence; ``n_licenses`` counts the matches and
+    for known sentences that make no licence; a statement that joins licences by "or" or
+    "and" is a match of each of them; ``n_licenses`` counts the matches and
     ``spans`` lists them as ``licence:start:end`` by start, in code points. ``n_sentences``
     counts the known sentences. Null and empty texts have none. Null and repeated
     ``doc_id`` are kept, a row for each row; other columns are ignored.
