@@ -110,6 +110,20 @@ def test_statements_as_they_are_written(text, licences):
     assert [n for n, _, _ in matched(identifiers(text + " licence"))] == licences
 
 
+def test_the_hint_passes_all_that_the_rules_accept(monkeypatch):
+    import re
+
+    from tidemark.llm import license_scan
+
+    names = ["CC BY-SA 4.0", "Apache 2.0", "GPL 3", "zlib", "the terms of the MIT"]
+    opens = ["This text is available", "Published", "This project is\ndistributed", "made available", "DUAL LICENSED"]
+    texts = [f"{o} {u} {n}." for o in opens for u in ("under", "_under_", "UNDER\n#") for n in names] + [f"SPDX-License-Identifier: {n}" for n in names[:4]]
+    texts += [wrap for s in SENTENCES.values() for wrap in (s, s.lower(), s.upper(), s.replace(" ", "\n# "))]
+    hinted = [identifiers(t) for t in texts]
+    monkeypatch.setattr(license_scan, "_HINT", re.compile(""))
+    assert hinted == [identifiers(t) for t in texts] and all(hinted)
+
+
 def test_licences_of_documents(spark):
     line = "Released under the MIT License."
     rows = [(1, f"prose here\n{line}\nmore. {line}"), (2, "a license to speak freely."), (3, None), (4, ""), (None, line)]

@@ -116,7 +116,8 @@ RULES = [
     ("Unlicense", ["public_domain"]),
 ]
 
-_HINT = re.compile(r"(?i)licen[sc]e|copyright|permission|redistribut|public domain|spdx|free software|warranty")
+# Every known sentence and statement holds one of these, so that other texts need no look.
+_HINT = re.compile(r"(?i)under|spdx|licen[sc]e|copyright|permission|redistribut|public\s+domain|software|warranty")
 # A sentence does not end in "v. 2.0" or after an SPDX tag.
 _SPLIT = re.compile(
     r"(?:(?!(?<=\b[vV])\.\s+[0-9])[.!?](?=\s|$)|(?<!(?i:spdx-license-identifier)):(?=\s|$)|\n[ \t#*/;-]*\n)"
