@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.byte_pairs import decoded, encoded
 from tidemark.llm.chat_format import formatted_turns, read_back
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contained_items
@@ -203,3 +205,15 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_license_scan")
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_byte_pairs")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    read_back = decoded(encoded(table(spark, sf_dir, "documents"), path), path)
+    return read_back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
