@@ -14,6 +14,7 @@ from tidemark.llm.common import table
 from tidemark.llm.decontamination import contained_items
 from tidemark.llm.embedding_dedup import near_duplicate_vectors
 from tidemark.llm.language_id import identified, profiles
+from tidemark.llm.lexical_search import ranked_documents
 from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.secret_scan import scan_secrets
@@ -217,3 +218,35 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op13_lexical_search",
+    r"""
+    WITH words AS (
+      SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+      FROM documents WHERE text IS NOT NULL
+    ), item AS (
+      SELECT DISTINCT item_id, unnest(list_distinct(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t
+      FROM benchmark
+    ), doc AS (SELECT doc_id, len(t)::BIGINT AS n, t FROM words WHERE len(t) > 0),
+    total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM doc),
+    tf AS (
+      SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS t FROM doc)
+      WHERE t IN (SELECT t FROM item) GROUP BY doc_id, n, t
+    ), weight AS (
+      SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY t, docs
+    ), scored AS (
+      SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+      FROM item JOIN tf USING (t) JOIN weight USING (t), total GROUP BY item_id, doc_id
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0
+    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
+)
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
