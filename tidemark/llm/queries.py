@@ -13,6 +13,7 @@ from tidemark.llm.chat_format import formatted_turns, read_back
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contained_items
 from tidemark.llm.embedding_dedup import near_duplicate_vectors
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.language_id import identified, profiles
 from tidemark.llm.lexical_search import ranked_documents
 from tidemark.llm.license_scan import scan_licenses
@@ -250,3 +251,33 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH able AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+             list_inner_product(a.v::DOUBLE[], r.v::DOUBLE[])::BIGINT AS score
+      FROM able a JOIN able r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v) WHERE a.vec_id % 50 = 0
+    ), positive AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, positive_id,
+           row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+      AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+    """,
+)
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, relabelled=moved)
