@@ -141,7 +141,10 @@ def test_near_duplicate_vectors_match_brute_force(spark):
         900: None, 901: [0.0] * 16, 902: [float("nan")] + [1.0] * 15, 903: [None] + [1.0] * 15,
         904: [float("inf")] + [1.0] * 15, 905: [1.0, 2.0], 906: [],
     }
-    expected = brute.vector_links({i: v if v is None or len(v) == 16 else None for i, v in rows.items()}, 0.95)
+    rows |= {1000 + k: (draw.standard_normal(3) * 0.1 + [1, 2, 3]).tolist() for k in range(12)} | {1100: [2.0, 4.0], 1101: [1.0]}
+    expected = {i: (0, i) for i in rows}
+    for width in {len(v) for v in rows.values() if v}:
+        expected |= brute.vector_links({i: v for i, v in rows.items() if v and len(v) == width}, 0.95)
     df = spark.createDataFrame([(i, v, 1) for i, v in rows.items()], "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicate_vectors(df.union(df).repartition(5)).collect()}
     assert got.keys() == expected.keys()
@@ -149,7 +152,8 @@ def test_near_duplicate_vectors_match_brute_force(spark):
     assert found >= 0.99 * sum(n for n, _ in expected.values())
     assert all(got[i][0] <= expected[i][0] for i in got)
     assert sum(got[i][1] == expected[i][1] for i in got) >= 0.99 * len(got)
-    assert all(got[i] == (0, i) for i in range(900, 907))
+    assert all(got[i] == expected[i] for i in (*range(900, 907), *range(1000, 1012), 1100, 1101))
+    assert got[1100] == (1, 905)
 
 
 def test_hot_cells_are_cut_into_blocks(spark, monkeypatch):
@@ -163,6 +167,25 @@ def test_hot_cells_are_cut_into_blocks(spark, monkeypatch):
     assert {(r.n_links, r.component_id) for r in near_duplicate_vectors(df).collect()} == {(99, 0)}
 
 
+@pytest.mark.parametrize("width", [8, 32, 64])
+@pytest.mark.parametrize("spread", [0.001, 0.01, 0.05])
+def test_every_vector_of_a_tight_cluster_meets_its_links(width, spread):
+    from tidemark.llm.embedding_dedup import fitted
+
+    draw = np.random.default_rng(width)
+    vectors = draw.standard_normal((4, width))[draw.integers(0, 4, 1_500)] + spread * draw.standard_normal((1_500, width))
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    grid = fitted(units[:700], len(units), 0.95)
+    own, near = grid.visits(units)
+    seen = np.zeros((len(units), grid.size**2), dtype=bool)
+    for i, cells in enumerate(near):
+        seen[i, cells] = True
+    seen[np.arange(len(units)), own] = True
+    linked = units @ units.T >= 0.95
+    met = seen[:, own] | seen[:, own].T
+    assert ((linked & met).sum(1) >= 0.99 * linked.sum(1)).all()
+
+
 def test_vectors_none_and_without_id(spark):
     schema = "vec_id long, embedding array<float>"
     assert near_duplicate_vectors(spark.createDataFrame([], schema)).count() == 0

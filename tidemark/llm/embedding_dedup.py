@@ -7,8 +7,10 @@ to move to lie in them, the two halves' distances to the separating hyperplanes
 added; since all cells up to a radius are visited, sorting both halves' distances gives the
 multi-sequence traversal's cells directly. The radius is fitted to a target recall: sample
 vectors are moved in random directions to exactly the threshold similarity, and the radius
-is the quantile of what it takes to visit the cells they land in. Pairs that meet in a cell
-are verified by cosine in double precision.
+is the quantile of what it takes to visit the cells they land in, or what the farthest of all
+linked pairs within the sample takes, if that is more. Where it costs few cells more, the
+radius is the threshold distance itself, with which no pair is missed. Pairs that meet in a
+cell are verified by cosine in double precision. Every length of vectors has a grid of its own.
 
 Equal vectors are collapsed first. A pair is looked for from one side only, that of the
 smaller cell number. Large cells are cut into blocks, and each group of blocks returns
@@ -23,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,7 @@ MEMBERS = 50  # vectors per cell that the grid is sized for
 CODEWORDS = 512  # most per half
 TARGET_RECALL = 0.999
 BLOCK = 1_024  # vectors of one block of a cell
+FEW_CELLS = 4  # cells a vector that may be added, over twice as many, for the exact radius
 
 
 @dataclass
@@ -113,11 +117,32 @@ def fitted(units: np.ndarray, total: int, cosine: float, recall: float = TARGET_
         row = np.arange(len(first))
         cell = landed[at : at + 1_000]
         needed.append(np.maximum(first[row, cell // size], 0) + np.maximum(second[row, cell % size], 0))
+    radius = max(float(np.quantile(np.concatenate(needed), recall)), _farthest_link(grid, units, cosine))
     # No pair needs more than the squared distance of two unit vectors at the threshold.
-    grid.radius = min(float(np.quantile(np.concatenate(needed), recall)), 2 - 2 * cosine) + 1e-9
+    exact = 2 - 2 * cosine
+    some = units[:500]
+    grid.radius = exact + 1e-9
+    at_most = np.mean([len(v) for v in grid.visits(some)[1]])
+    grid.radius = min(radius, exact) + 1e-9
+    if at_most <= 2 * np.mean([len(v) for v in grid.visits(some)[1]]) + FEW_CELLS:
+        grid.radius = exact + 1e-9
     return grid
 
 
+def _farthest_link(grid: Grid, units: np.ndarray, cosine: float) -> float:
+    """The greatest radius that any linked pair of these vectors takes, seen from its smaller cell."""
+    cell = np.concatenate([grid.cells(units[at : at + 1_000]) for at in range(0, len(units), 1_000)])
+    farthest = 0.0
+    for at in range(0, len(units), 250):
+        part = units[at : at + 250]
+        linked = (part @ units.T >= cosine) & (cell[at : at + 250, None] < cell[None, :])
+        row, other = np.nonzero(linked)
+        if len(row):
+            first, second = (np.maximum(d, 0) for d in grid.distances(part))
+            farthest = max(farthest, float((first[row, cell[other] // grid.size] + second[row, cell[other] % grid.size]).max()))
+    return farthest
+
+
 def _units(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows that can be linked, and their unit vectors in double precision."""
     rows, found = [], []
@@ -139,65 +164,69 @@ def near_duplicate_vectors(embeddings: DataFrame, cosine: float = 0.95, recall:
     ``n_links`` counts the other vectors at ``cosine`` or above, ``component_id`` is the
     least ``vec_id`` reachable over links, and ``kept`` says that it is the row's own.
 
-    Vectors that are null, zero, or hold null or non-finite components link with nothing,
-    and so do those of another length than the most frequent one. Rows that repeat a
+    Vectors that are null, empty, zero, or hold null or non-finite components link with
+    nothing; vectors of different lengths do not link with each other. Rows that repeat a
     ``vec_id`` count as one vector, the least of them; rows without one make one row with
     no links, no component, and ``kept`` true. Extra columns, such as labels, are ignored.
     """
     vectors = embeddings.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding"))
     name = [F.xxhash64(F.lit(k), "embedding").alias(f"name{k}") for k in (1, 2)]
     vectors = written(vectors.select("vec_id", "embedding", *name), "vectors")
-    lengths = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").groupBy(F.size("embedding").alias("width"))
-    common = lengths.count().orderBy(F.desc("count"), F.desc("width")).head()
-    alone = vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if common is None or not common.width:
-        return alone
-    width = common.width
-    usable = vectors.where((F.size("embedding") == width) & F.col("vec_id").isNotNull())
+    usable = vectors.where((F.size("embedding") > 0) & F.col("vec_id").isNotNull())
     distinct = usable.groupBy("name1", "name2").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     distinct = written(
         usable.join(distinct.select("id", "copies"), usable.vec_id == F.col("id")).select("id", "copies", "embedding"),
         "distinct",
     )
     total = distinct.count()
-    some = distinct.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("embedding").toArrow()
-    _, units = _units(some["embedding"].combine_chunks(), width)
-    if not len(units):
-        return alone
-    grid = fitted(units, total, cosine, recall)
+    sample = distinct.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("embedding").toArrow()["embedding"].combine_chunks()
+    grids: dict[int, Grid] = {}
+    sizes = pc.list_value_length(sample).to_numpy()
+    for width in np.unique(sizes).tolist():
+        mine = sample.filter(pa.array(sizes == width))
+        units = _units(mine, width)[1]
+        if len(units):
+            grids[width] = fitted(units, math.ceil(total * len(mine) / len(sample)), cosine, recall)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rows, units = _units(part.column("embedding"), width)
-                if not len(rows):
-                    continue
+                yield from located(batch.slice(at, 512))
+
+    def located(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sizes = pc.list_value_length(part.column("embedding")).to_numpy()
+        for width in np.unique(sizes).tolist():
+            mine = part.filter(pa.array(sizes == width))
+            rows, units = _units(mine.column("embedding"), width)
+            if len(rows):
+                # A length that the sample lacks is rare: all of its vectors share one cell.
+                grid = grids.get(width) or Grid((np.zeros((1, width - width // 2)), np.zeros((1, width // 2))), 0.0)
                 own, near = grid.visits(units)
-                kept = part.take(pa.array(rows))
+                kept = mine.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
                     [
                         kept.column("id"),
+                        pa.array(np.full(len(rows), width), pa.int32()),
                         kept.column("copies"),
                         pa.array([u.tobytes() for u in units], pa.binary()),
                         pa.array(own, pa.int64()),
                         pa.array([[c, *n.tolist()] for c, n in zip(own, near, strict=True)], pa.list_(pa.int64())),
                     ],
-                    names=["id", "copies", "unit", "own", "cells"],
+                    names=["id", "width", "copies", "unit", "own", "cells"],
                 )
 
-    placed = written(distinct.mapInArrow(place, "id long, copies long, unit binary, own long, cells array<long>"), "placed")
-    visits = placed.select("id", "copies", "unit", "own", F.explode("cells").alias("cell"))
+    placed = written(distinct.mapInArrow(place, "id long, width int, copies long, unit binary, own long, cells array<long>"), "placed")
+    visits = placed.select("id", "width", "copies", "unit", "own", F.explode("cells").alias("cell"))
     large = (
-        placed.select(F.explode("cells").alias("cell"))
-        .groupBy("cell")
+        placed.select("width", F.explode("cells").alias("cell"))
+        .groupBy("width", "cell")
         .count()
         .where(F.col("count") > BLOCK)
-        .select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+        .select("width", "cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     )
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (
-        visits.join(large, "cell", "left")
+        visits.join(large, ["width", "cell"], "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -210,7 +239,7 @@ def near_duplicate_vectors(embeddings: DataFrame, cosine: float = 0.95, recall:
         ids, copies, block = (held[c].to_numpy() for c in ("id", "copies", "mine"))
         member = held["own"].to_numpy() == held["cell"].to_numpy()
         split = held["i"][0].as_py() != held["j"][0].as_py()
-        units = np.frombuffer(b"".join(held["unit"].to_pylist()), dtype=np.float64).reshape(len(ids), width)
+        units = np.frombuffer(b"".join(held["unit"].to_pylist()), dtype=np.float64).reshape(len(ids), -1)
         linked = units @ units.T >= cosine
         linked &= member[:, None] | member[None, :]
         if split:
@@ -231,7 +260,7 @@ def near_duplicate_vectors(embeddings: DataFrame, cosine: float = 0.95, recall:
             names=["id", "root", "n"],
         )
 
-    met = written(dealt.groupBy("cell", "i", "j").applyInArrow(verify, "id long, root long, n long"), "met")
+    met = written(dealt.groupBy("width", "cell", "i", "j").applyInArrow(verify, "id long, root long, n long"), "met")
     counts = met.groupBy("id").agg(F.sum("n").alias("n"))
     reach = components(met.select(F.col("id").alias("a"), F.col("root").alias("b")))
     # Copies of a vector that can be linked at all are linked with each other.
