@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.instants import Instant, at, back, instant, within
 from tidemark.operators.latest import keep_newest
 from tidemark.operators.quality import CLEANED_MESSAGE, clean_ticks
+from tidemark.sources.ledger import joined, noted
 from tidemark.sources.tables import (
     DAY,
     day_bytes,
@@ -146,21 +147,29 @@ def expired_days(spark: SparkSession, path: str, keep_days: float, as_of: Instan
 
 
 def rewrite_days(
-    spark: SparkSession, path: str, days: Sequence[date], kept: DataFrame, source: DataFrame
+    spark: SparkSession,
+    path: str,
+    days: Sequence[date],
+    kept: DataFrame,
+    source: DataFrame,
+    note: bool = False,
 ) -> int:
     """Put ``kept`` in place of the rows of ``days`` in ``source``; returns rows removed.
 
     Days that keep no row are dropped, since an overwrite only replaces days it
-    has rows for.
+    has rows for. With ``note``, a table that keeps a ledger notes the days that change.
     """
     if not days:
         return 0
     before = {r[DAY]: r["n"] for r in _rows_per_day(on_days(source, days))}
     after = {r[DAY]: r["n"] for r in _rows_per_day(on_days(kept, days))}
     changed = [d for d in before if after.get(d, 0) not in (0, before[d])]
-    if changed:
-        replace_days(on_days(kept, changed), path)
-    drop_days(spark, path, [d for d in before if d not in after])
+    gone = [d for d in before if d not in after]
+    spans = joined([(instant(d), instant(d) + timedelta(days=1)) for d in (*changed, *gone)])
+    with noted(spark, path, spans if note else ()):
+        if changed:
+            replace_days(on_days(kept, changed), path)
+        drop_days(spark, path, gone)
     return sum(before.values()) - sum(after.values())
 
 
@@ -176,7 +185,7 @@ def clean_ticks_table(
     kept = clean_ticks(stored, start, end, symbol, dry_run=False)
     low, high = instant(start).date(), instant(end).date()
     days = [d for d in stored_days(spark, path) if low <= d <= high]
-    return CLEANED_MESSAGE % rewrite_days(spark, path, days, kept, stored)
+    return CLEANED_MESSAGE % rewrite_days(spark, path, days, kept, stored, note=True)
 
 
 def run_retention(

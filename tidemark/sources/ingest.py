@@ -24,6 +24,7 @@ from tidemark.operators.quality import (
     with_record_reason,
 )
 from tidemark.session import scratch_path
+from tidemark.sources.ledger import days_in, has_ledger, hours_of
 from tidemark.sources.tables import (
     append_days,
     days_of,
@@ -100,12 +101,16 @@ def upsert_days(
     lacking = reduce(Column.__or__, [F.col(c).isNull() for c in key])
     refused = F.raise_error(F.lit(f"a row lacks one of its key columns {', '.join(key)}"))
     incoming = with_day(incoming, time).filter(F.when(lacking, refused.cast("boolean")).otherwise(True))
+    changed = hours_of(incoming, time) if has_ledger(spark, path) else ()
     if exists(spark, path):
-        touched = days_of(incoming, time) if days is None else days
+        if changed:
+            touched = days_in(changed)
+        else:
+            touched = days_of(incoming, time) if days is None else days
         existing = on_days(spark.read.parquet(path), touched)
     else:
         existing = incoming.drop(*sequence).limit(0)
-    replace_days(merge_rows(existing, incoming, key, sequence), path, time)
+    replace_days(merge_rows(existing, incoming, key, sequence), path, time, changed)
 
 
 def insert_records(

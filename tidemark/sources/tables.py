@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.instants import PARTITION_OF
+from tidemark.sources.ledger import Span, has_ledger, hours_of, noted
 
 DAY = "day"
 
@@ -77,22 +78,26 @@ def with_day(df: DataFrame, time: str = "time") -> DataFrame:
 
 def append_days(df: DataFrame, path: str, time: str = "time") -> None:
     """Append rows below their days."""
-    _rebalanced(with_day(df, time)).write.mode("append").partitionBy(DAY).parquet(path)
+    spark = df.sparkSession
+    with noted(spark, path, hours_of(df, time) if has_ledger(spark, path) else ()):
+        _rebalanced(with_day(df, time)).write.mode("append").partitionBy(DAY).parquet(path)
 
 
-def replace_days(df: DataFrame, path: str, time: str = "time") -> None:
+def replace_days(df: DataFrame, path: str, time: str = "time", changed: Sequence[Span] = ()) -> None:
     """Put the rows in place of what their days held; other days stay.
 
     Spark stages the new files and swaps them in when the job commits, so the
-    rows may come from the table itself.
+    rows may come from the table itself. ``changed`` is what the ledger notes, if
+    the table keeps one.
     """
-    (
-        _rebalanced(with_day(df, time))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+    with noted(df.sparkSession, path, changed):
+        (
+            _rebalanced(with_day(df, time))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY)
+            .parquet(path)
+        )
 
 
 def _rebalanced(df: DataFrame) -> DataFrame:
@@ -142,6 +147,16 @@ def day_bytes(spark: SparkSession, path: str, days: Sequence[date]) -> dict[date
     return found
 
 
+def day_files(spark: SparkSession, path: str, days: Sequence[date]) -> dict[date, frozenset[str]]:
+    """The names of each day's files, from the file listing; none for a day that is not there."""
+    found = {}
+    for day in days:
+        folder, system = _files(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
+        files = system.listStatus(folder) if system.exists(folder) else []
+        found[day] = frozenset(f.getPath().getName() for f in files)
+    return found
+
+
 def drop_folder(spark: SparkSession, path: str) -> bool:
     """Remove a folder that the library itself wrote, wherever it is stored."""
     folder, system = _files(spark, path)
