@@ -9,21 +9,21 @@ box gives an interval of the inner products that its members can have with an an
 An anchor looks for what it needs, the best rows of its own label or the best ones of other
 labels in a window of scores, in its own tile first. What it finds there is a lower bound of its
 k-th best score, and it visits another tile only if that tile's interval reaches the window and
-the bound. In a tile, a queue gives the leaves by the upper ends of their intervals; leaves
-outside the window or strictly below the k-th score are passed over, and the search ends when the
-queue is below all that is needed. Anchors travel packed, by tile, and only rows that can still
+the bound. In a tile, a queue gives the leaves by the upper ends of their intervals, some at a
+time; leaves outside the window or strictly below the k-th score are passed over, and the search
+ends when the queue is below all that is needed. Anchors travel packed, by tile, and only rows that can still
 be among the best ones return.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
@@ -35,6 +35,7 @@ SAMPLE = 10_000  # entries that the cuts between tiles are taken from
 TILE = 4_096  # entries that a tile is meant for; more where there would be over TILES of them
 TILES = 1_024
 LEAF = 32  # entries of a leaf
+FIRST = 8  # leaves that are taken from the queue at first; then twice as many each time
 PACKS = 16  # rows that the anchors visiting one tile are packed into
 HOT = 4_096  # anchors with one vector and label above which these are spread
 FAR = 1 << 62
@@ -113,6 +114,7 @@ class Tree:
         order = str_order(np.column_stack([self.labels, self.values[:, spread]]))
         self.values, self.labels = self.values[order], self.labels[order]
         self.held = [self.held[i] for i in order]
+        self.first = np.array([h[0] for h in self.held], dtype=np.int64)
         starts = np.arange(0, len(order), LEAF)
         self.low = np.minimum.reduceat(self.values, starts)
         self.high = np.maximum.reduceat(self.values, starts)
@@ -136,25 +138,34 @@ class Tree:
             else:
                 may = (self.labels_low != labels[i]) | (self.labels_high != labels[i])
             best: list[list[tuple[int, int]]] = [[] for _ in wanted]  # (-score, id), the best first
-            floor = [max(w["low"], w["bound"]) for w in wanted]
-            may &= (most[i] >= min(floor)) & (least[i] <= max(w["high"] for w in wanted))
-            queue = [(-most[i, leaf], leaf) for leaf in np.flatnonzero(may)]
-            heapq.heapify(queue)
-            while queue and -queue[0][0] >= min(floor):
-                upper, leaf = heapq.heappop(queue)
-                if not any(-upper >= floor[n] and least[i, leaf] <= w["high"] for n, w in enumerate(wanted)):
-                    continue
-                rows = slice(leaf * LEAF, (leaf + 1) * LEAF)
+            floor = np.array([max(w["low"], w["bound"]) for w in wanted], dtype=kind)
+            high = np.array([w["high"] for w in wanted], dtype=kind)
+            may &= (most[i] >= floor.min()) & (least[i] <= high.max())
+            queue = np.flatnonzero(may)
+            queue = queue[np.argsort(-most[i, queue], kind="stable")]
+            at, step = 0, FIRST
+            while at < len(queue) and most[i, queue[at]] >= floor.min():
+                leaves = queue[at : at + step]
+                at, step = at + step, 2 * step
+                reached = (most[i, leaves, None] >= floor) & (least[i, leaves, None] <= high)
+                leaves = leaves[reached.any(1)]
+                rows = (leaves[:, None] * LEAF + np.arange(LEAF)).ravel()
+                rows = rows[rows < len(values)]
+                rows = rows[(self.labels[rows] == labels[i]) == same]
                 score = values[rows] @ anchors[i]
-                right = (self.labels[rows] == labels[i]) == same
-                for n, w in enumerate(wanted):
-                    found = best[n]
-                    for r in np.flatnonzero(right & (score >= floor[n]) & (score <= w["high"])):
-                        found += [(-int(score[r]), v) for v in self.held[leaf * LEAF + r][:k]]
-                    found.sort()
-                    del found[k:]
-                    if len(found) == k:
-                        floor[n] = max(floor[n], -found[-1][0])
+                some = np.flatnonzero(score >= floor.min())
+                rows, score = rows[some], score[some]
+                for n in range(len(wanted)):
+                    fits = np.flatnonzero((score >= floor[n]) & (score <= high[n]))
+                    if not len(fits):
+                        continue
+                    # Among entries of one score, the k best rows are in those with the k smallest first ids.
+                    fits = fits[np.lexsort((self.first[rows[fits]], -score[fits]))[:k]]
+                    best[n] += [(-int(score[f]), v) for f in fits for v in self.held[rows[f]][:k]]
+                    best[n].sort()
+                    del best[n][k:]
+                    if len(best[n]) == k:
+                        floor[n] = max(floor[n], -best[n][-1][0])
             for n, w in enumerate(wanted):
                 for score, v in best[n]:
                     yield i, w["slot"], -score, v
@@ -344,18 +355,24 @@ def _found(tiles: DataFrame, boxes: list, wanted: DataFrame, same: bool, k: int,
         shaped = {w: (np.array([s[0] for s in side]), np.array([s[1] for s in side]), np.array([s[2] for s in side])) for w, side in sides.items()}
         for batch in batches:
             home = batch.column("number").to_numpy()
-            reached = []
-            for i in range(batch.num_rows):
-                vector = np.array(batch.column("vector")[i].as_py(), dtype=np.int64).reshape(1, -1)
-                numbers, low, high = shaped[vector.shape[1]]
-                largest = max(float(np.abs(x).max(initial=0)) for x in (vector, low, high))
-                kind = np.float64 if largest**2 * max(1, vector.shape[1]) < EXACT / 2 else object
-                least, most = intervals(vector.astype(kind), low.astype(kind), high.astype(kind))
-                needs = batch.column("needs")[i].as_py()
-                hit = np.zeros(len(numbers), dtype=bool)
-                for n in needs:
-                    hit |= (most[0] >= max(n["low"], n["bound"])) & (least[0] <= n["high"])
-                reached.append(numbers[hit & (numbers != home[i])].tolist())
+            widths = pc.list_value_length(batch.column("vector")).to_numpy()
+            reached = [[]] * batch.num_rows
+            for width in np.unique(widths).tolist():
+                mine = np.flatnonzero(widths == width)
+                part = batch.take(pa.array(mine))
+                vectors = _matrix(pa.chunked_array([part.column("vector")]))
+                numbers, low, high = shaped[width]
+                largest = max(float(np.abs(x).max(initial=0)) for x in (vectors, low, high))
+                kind = np.float64 if largest**2 * max(1, width) < EXACT / 2 else object
+                least, most = intervals(vectors.astype(kind), low.astype(kind), high.astype(kind))
+                needs = part.column("needs")
+                owner = np.repeat(np.arange(len(mine)), pc.list_value_length(needs).to_numpy())
+                need = {c: needs.flatten().field(c).to_numpy()[:, None] for c in ("low", "high", "bound")}
+                hit = (most[owner] >= np.maximum(need["low"], need["bound"])) & (least[owner] <= need["high"])
+                hit = np.logical_or.reduceat(hit, np.searchsorted(owner, np.arange(len(mine))))
+                hit &= numbers[None, :] != home[mine][:, None]
+                for i, row in zip(mine.tolist(), hit, strict=True):
+                    reached[i] = numbers[row].tolist()
             yield batch.append_column("tiles", pa.array(reached, pa.list_(pa.int64())))
 
     chosen = wanted.select("number", *name, "vector", "needs")
