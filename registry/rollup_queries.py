@@ -2,8 +2,9 @@
 
 from registry.core import AS_OF, END, SQL, START, query
 from tidemark.functions.buckets import whole_buckets
-from tidemark.plans import rollups
+from tidemark.plans import incremental, rollups, states
 from tidemark.session import scratch_path
+from tidemark.sources import ledger, tables
 
 _BARS = """arg_min_null(price, time) AS open, max(price) AS high, min(price) AS low,
     arg_max_null(price, time) AS close, sum(volume) AS volume, count(*) AS tick_count,
@@ -347,3 +348,57 @@ def _(t):
     sources = {"price_ticks": t.price_ticks, "ohlc_data": t.ohlc_data}
     rollups.refresh_all(t.spark, sources, root, "2024-01-11", "2024-01-09")
     return t.spark.read.parquet(f"{root}/ticks_1hour").drop("day")
+
+
+# Ticks of this stretch come late, those from the second moment on last.
+_LATE = "time >= '2024-01-11 04:30:00' AND time < '2024-01-11 09:15:00'"
+_TAIL = "time >= '2024-01-28 13:20:00'"
+
+
+def _followed(t):
+    """A table with a ledger, and a hook that stores a part of the ticks in it."""
+    path = scratch_path(t.spark, "ticks")
+    ledger.keep_ledger(t.spark, path)
+    return path, lambda where: tables.append_days(t.price_ticks.where(where), path)
+
+
+@query("continuous_aggregate_fresh", _HOUR, f"{_BAR_NUMBERS} {_CHANGE_NUMBERS}")
+def _(t):
+    """Stored buckets below the mark, raw rows for late ones and above it: right after the inserts."""
+    table, store = _followed(t)
+    path, rollup = scratch_path(t.spark, "rollup"), rollups.ROLLUPS["ticks_1hour"]
+    store(f"NOT ({_LATE}) AND NOT ({_TAIL})")
+    incremental.refresh_changed(t.spark, rollup, table, path)
+    store(_LATE)
+    store(_TAIL)
+    return incremental.read_fresh(t.spark, rollup, table, path, "2000-01-01", "2100-01-01")
+
+
+@query("refresh_changed", SQL["market_volatility_hourly"])
+def _(t):
+    """Three inserts, each followed by a refresh of what it changed."""
+    table, store = _followed(t)
+    path, rollup = scratch_path(t.spark, "rollup"), rollups.ROLLUPS["market_volatility_hourly"]
+    for where in (f"NOT ({_LATE}) AND NOT ({_TAIL})", _LATE, _TAIL):
+        store(where)
+        incremental.refresh_changed(t.spark, rollup, table, path)
+    return t.spark.read.parquet(path).drop("day")
+
+
+def _register_view(name: str) -> None:
+    """Every tick view from one set of merged states, brought up to date by two further inserts."""
+
+    @query(f"states_{name}")
+    def _(t):
+        table, store = _followed(t)
+        root = scratch_path(t.spark, "states")
+        for where in (f"NOT ({_LATE}) AND NOT ({_TAIL})", _LATE, _TAIL):
+            store(where)
+            states.refresh_states(t.spark, table, root)
+        return states.read_view(t.spark, root, name, "2000-01-01", "2100-01-01")
+
+    SQL[f"states_{name}"] = SQL[name]
+
+
+for _name in states.VIEWS:
+    _register_view(_name)
