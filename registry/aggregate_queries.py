@@ -281,6 +281,26 @@ def _(t):
     return agg.value_distribution(t.records, START, END, 20)
 
 
+@query(
+    "value_distribution_nulls",
+    f"""WITH r AS (SELECT entity_id, value2 AS value FROM records WHERE {_RANGE} AND value2 <> 7),
+    e AS (SELECT entity_id, min(value) AS low, max(value) AS high, count(*) AS n FROM r GROUP BY 1),
+    b AS (
+        SELECT entity_id, low, high, n,
+               CAST(least(coalesce(floor((value - low) / nullif((high - low) / 4, 0)), 0), 3) AS BIGINT) AS bin
+        FROM r JOIN e USING (entity_id))
+    SELECT entity_id, bin, low + bin * ((high - low) / 4) AS range_low,
+           low + (bin + 1) * ((high - low) / 4) AS range_high,
+           count(*) AS count, count(*) / n * 100 AS percentage
+    FROM b GROUP BY entity_id, bin, low, high, n""",
+    "range_low range_high percentage",
+)
+def _(t):
+    """Every seventh of the values is missing."""
+    some = t.records.withColumn("value", F.nullif(F.col("value2"), F.lit(7.0)))
+    return agg.value_distribution(some, START, END, 4)
+
+
 @query(
     "volume_profile",
     """SELECT symbol, round(price, 2) AS price_level, sum(volume) AS volume, count(*) AS tick_count

@@ -104,6 +104,59 @@ def test_latest_keeps_the_newest_over_batches(spark, feed, tmp_path):
     assert {r["entity_id"]: r["value"] for r in flows.load_latest(spark, path).collect()}["c"] == 5.0
 
 
+def test_a_batch_replayed_after_a_fold_loses_no_entity(spark, feed, tmp_path):
+    add, stream, _ = feed
+    path, state = str(tmp_path / "latest"), str(tmp_path / "state")
+
+    def run():
+        flows.run_available(flows.stream_latest(stream(), path, state))
+        return {r["entity_id"]: r["value"] for r in flows.load_latest(spark, path).collect()}
+
+    add((10, "a", 1.0), (20, "b", 2.0))
+    run()
+    add((30, "b", 3.0), (1, "c", 4.0))
+    assert run() == {"a": 1.0, "b": 3.0, "c": 4.0}
+    last = flows.last_committed(spark, state)
+    tables.drop_folder(spark, f"{state}/commits/{last}")  # as after a crash before the commit
+    assert flows.fold_latest(spark, path) == 2
+    assert run() == {"a": 1.0, "b": 3.0, "c": 4.0}
+    assert tables.folders(spark, path, "batch=") == [f"batch={last}"]  # it was replayed
+    assert flows.fold_latest(spark, path) == 2
+    add((0, "d", 9.0))
+    assert run() == {"a": 1.0, "b": 3.0, "c": 4.0, "d": 9.0}
+
+
+def test_a_fold_that_was_not_finished_is_not_read(spark, feed, tmp_path):
+    add, stream, _ = feed
+    path = str(tmp_path / "latest")
+    add((10, "a", 1.0))
+    flows.run_available(flows.stream_latest(stream(), path, str(tmp_path / "state")))
+    flows.fold_latest(spark, path)
+    half = tmp_path / "latest-folded" / "folded=2"
+    half.mkdir()
+    assert flows.load_latest(spark, path).count() == 1
+    add((20, "b", 1.0))
+    flows.run_available(flows.stream_latest(stream(), path, str(tmp_path / "state")))
+    flows.fold_latest(spark, path)
+    assert flows.load_latest(spark, path).count() == 2 and not half.exists()
+
+
+def test_pending_batches_are_folded_once_they_are_committed(spark, feed, tmp_path):
+    add, stream, _ = feed
+    path, state = str(tmp_path / "records"), str(tmp_path / "state")
+    add((10, "a", 1.0))
+    flows.run_available(flows.stream_ingest(stream(), path, state))
+    add((20, "a", 2.0))
+    flows.run_available(flows.stream_ingest(stream(), path, state))
+    last = flows.last_committed(spark, state)
+    tables.drop_folder(spark, f"{state}/commits/{last}")
+    assert flows.fold_pending(spark, path, checkpoint=state) == 1
+    flows.run_available(flows.stream_ingest(stream(), path, state))
+    assert flows.fold_pending(spark, path, checkpoint=state) == 1
+    assert flows.fold_pending(spark, path, checkpoint=state) == 0
+    assert flows.merged_records(spark, path).count() == 2
+
+
 def test_silence(spark, feed, tmp_path):
     add, stream, _ = feed
     add((0, "a", 1.0), (8, "a", 1.0), (40, "a", 1.0), (0, "b", 1.0), (45, "b", 1.0))

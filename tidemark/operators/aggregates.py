@@ -295,10 +295,13 @@ def statistics(
 def value_distribution(
     records: DataFrame, start: Instant, end: Instant, bins: int, ids: Ids = None
 ) -> DataFrame:
-    """Equal-width histogram per entity, with each bin's share in percent."""
+    """Equal-width histogram per entity, with each bin's share in percent.
+
+    Rows without a value are in no bin and count for no share.
+    """
     if bins <= 0:
         raise ValueError("bins must be positive")
-    rows = pick(within(records, start, end), ids).select("entity_id", "value")
+    rows = pick(within(records, start, end), ids).select("entity_id", "value").filter(F.col("value").isNotNull())
     limits = rows.groupBy("entity_id").agg(
         F.min("value").alias("_low"), F.max("value").alias("_high"), F.count(F.lit(1)).alias("_n")
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from tidemark.operators.quality import REASON, with_record_reason
 from tidemark.operators.reads import Bounds, threshold_alerts
 from tidemark.plans.rollups import ohlcv_columns
 from tidemark.sources.ingest import RECORD_KEY, merge_rows, upsert_days
+from tidemark.sources.ledger import Log
 from tidemark.sources.tables import DAY, drop_folder, exists, folders, load_records
 
 
@@ -180,20 +182,39 @@ def merged_records(spark: SparkSession, path: str, sequence: Sequence[str] = ())
     return merge_rows(stored, pending, RECORD_KEY, [BATCH, *sequence])
 
 
-def fold_pending(spark: SparkSession, path: str, sequence: Sequence[str] = ()) -> int:
-    """Merge the batches that wait now into the days they touch; returns how many.
+def fold_pending(
+    spark: SparkSession, path: str, sequence: Sequence[str] = (), checkpoint: str | None = None
+) -> int:
+    """Merge the waiting batches of finished triggers into the days they touch; returns how many.
 
-    They go once they are merged. Merging a batch twice changes nothing, so the fold
-    may be repeated after a failure; batches that arrive meanwhile wait for the next.
+    With ``checkpoint``, only batches that the stream has committed are folded. The one after
+    them may still be replayed, and its replay must not meet rows that were put into the table
+    after it. A fold that failed half way may be repeated, as the batches it has merged go only
+    when all of them are in, and numbers below the last one folded are never merged again.
     """
     names = folders(spark, pending_path(path), f"{BATCH}=")
-    if names:
-        number = [int(n.removeprefix(f"{BATCH}=")) for n in names]
-        pending = spark.read.parquet(pending_path(path)).filter(F.col(BATCH).isin(number))
+    numbers = sorted(int(n.removeprefix(f"{BATCH}=")) for n in names)
+    log = Log(spark, f"{pending_path(path)}-folded")
+    done = (log.last() or {"upto": -1})["upto"]
+    if checkpoint is not None:
+        last = last_committed(spark, checkpoint)
+        numbers = [n for n in numbers if n <= last]
+    due = [n for n in numbers if n > done]
+    if due:
+        pending = spark.read.parquet(pending_path(path)).filter(F.col(BATCH).isin(due))
         upsert_days(pending, path, RECORD_KEY, [BATCH, *sequence])
-        for name in names:
-            drop_folder(spark, f"{pending_path(path)}/{name}")
-    return len(names)
+        if checkpoint is not None:
+            log.start()
+            log.forget(log.append({"upto": due[-1]}) - 1)
+    for number in numbers:
+        drop_folder(spark, f"{pending_path(path)}/{BATCH}={number}")
+    return len(due)
+
+
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """The number of the last batch that a stream has committed, -1 if none; it is never replayed."""
+    numbers = [int(n) for n in folders(spark, f"{checkpoint.rstrip('/')}/commits", "") if n.isdigit()]
+    return max(numbers, default=-1)
 
 
 def stream_latest(records: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -218,40 +239,57 @@ def stream_latest(records: DataFrame, path: str, checkpoint: str) -> DataStreamW
     )
 
 
-def load_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest row of every entity over all batches; of equal times the later batch."""
+FOLDED = "folded"
+
+
+def folded_path(path: str) -> str:
+    """Where the fold of a table of latest rows is kept, apart from what batches write."""
+    return f"{path.rstrip('/')}-{FOLDED}"
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest row of every entity; of equal times that of the later batch."""
     newest = Window.partitionBy("entity_id").orderBy(F.desc("time"), F.desc(BATCH))
-    return (
-        spark.read.parquet(path)
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank", BATCH)
-    )
+    return rows.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def _folds(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n.removeprefix(f"{FOLDED}=")) for n in folders(spark, folded_path(path), f"{FOLDED}="))
+
+
+def _all_latest(spark: SparkSession, path: str) -> DataFrame:
+    """What the newest whole fold and the batches hold, with the batch that each row is from."""
+    parts = []
+    folds = [n for n in _folds(spark, path) if exists(spark, f"{folded_path(path)}/{FOLDED}={n}/_SUCCESS")]
+    if folds:
+        parts.append(spark.read.parquet(f"{folded_path(path)}/{FOLDED}={folds[-1]}"))
+    if folders(spark, path, f"{BATCH}=") or not parts:
+        parts.append(spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("long")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row of every entity over the fold and all batches; of equal times the later batch."""
+    return _newest(_all_latest(spark, path)).drop(BATCH)
 
 
 def fold_latest(spark: SparkSession, path: str) -> int:
-    """Make one batch of those that are there now, under the number of the last; returns how many.
+    """Make one fold of the last one and the batches that are there now; returns how many these were.
 
-    The earlier ones go afterwards; until then their rows are only read again.
+    The fold lies in a folder of its own, which no batch writes, and a new one takes the place
+    of the last only when it is whole. A batch that is replayed after it was folded is written
+    again beside the fold and brings the same rows, so whatever happens no entity is lost.
     """
-    numbers = sorted(int(n.removeprefix(f"{BATCH}=")) for n in folders(spark, path, f"{BATCH}="))
-    if len(numbers) > 1:
-        newest = Window.partitionBy("entity_id").orderBy(F.desc("time"), F.desc(BATCH))
-        (
-            spark.read.parquet(path)
-            .filter(F.col(BATCH).isin(numbers))
-            .withColumn("_rank", F.row_number().over(newest))
-            .filter(F.col("_rank") == 1)
-            .drop("_rank")
-            .withColumn(BATCH, F.lit(numbers[-1]))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(path)
-        )
-        for number in numbers[:-1]:
+    numbers = [int(n.removeprefix(f"{BATCH}=")) for n in folders(spark, path, f"{BATCH}=")]
+    earlier = _folds(spark, path)
+    if numbers:
+        target = (earlier[-1] if earlier else 0) + 1
+        _newest(_all_latest(spark, path)).write.mode("overwrite").parquet(f"{folded_path(path)}/{FOLDED}={target}")
+        for number in earlier:
+            drop_folder(spark, f"{folded_path(path)}/{FOLDED}={number}")
+        for number in numbers:
             drop_folder(spark, f"{path.rstrip('/')}/{BATCH}={number}")
-    return len(numbers)
+    return len(numbers) + bool(earlier)
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
