@@ -402,8 +402,8 @@ def _register_view(name: str) -> None:
 
     # Sums of states differ from sums of rows in the last bits, and some vwap lie on the very
     # edge of a sixth place; both sides cut them at another point.
-    cut = " REPLACE (floor(vwap * 100000 + 0.31) / 100000 AS vwap)" if " AS vwap" in SQL[name] else ""
-    SQL[f"states_{name}"] = f"SELECT *{cut} FROM ({SQL[name]})"
+    plain = _VWAP.removesuffix(" AS vwap")
+    SQL[f"states_{name}"] = SQL[name].replace(_VWAP, f"floor({plain} * 100000 + 0.31) / 100000 AS vwap")
 
 
 for _name in states.VIEWS:

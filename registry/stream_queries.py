@@ -114,11 +114,11 @@ def _(t):
 )
 def _(t):
     """A fold, then the last batch is replayed as after a crash before its commit, and a fold again."""
-    path, state = scratch_path(t.spark, "latest"), scratch_path(t.spark, "state")
-    flows.run_available(flows.stream_latest(records_of(_batches(t)), path, state))
+    path, state, records = scratch_path(t.spark, "latest"), scratch_path(t.spark, "state"), records_of(_batches(t))
+    flows.run_available(flows.stream_latest(records, path, state))
     flows.fold_latest(t.spark, path)
     tables.drop_folder(t.spark, f"{state}/commits/{flows.last_committed(t.spark, state)}")
-    flows.run_available(flows.stream_latest(records_of(_batches(t)), path, state))
+    flows.run_available(flows.stream_latest(records, path, state))
     flows.fold_latest(t.spark, path)
     return flows.load_latest(t.spark, path).select("entity_id", "time", "value", "value2", "value3")
 
