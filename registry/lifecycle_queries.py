@@ -176,10 +176,10 @@ def _(t):
     path, old = scratch_path(t.spark, "ticks"), scratch_path(t.spark, "ticks")
     for part in (0, 1, 2):
         some = t.price_ticks.filter(F.pmod(F.xxhash64("time"), F.lit(3)) == part)
-        some = some.withColumn("day", F.to_date("time")).repartition(1)
+        some = some.withColumn("day", F.to_date("time")).repartition("day")
         some.write.mode("append").partitionBy("day").parquet(path)
         moved = some.withColumn("time", F.col("time") - F.expr("INTERVAL 10000 DAYS"))
-        moved.withColumn("day", F.to_date("time")).repartition(1).write.mode("append").partitionBy("day").parquet(old)
+        moved.withColumn("day", F.to_date("time")).repartition("day").write.mode("append").partitionBy("day").parquet(old)
     lifecycle.compact_partitions(t.spark, path, ["symbol"], 7, AS_OF)
     reports = [lifecycle.partition_report(t.spark.read.parquet(p), AS_OF) for p in (path, old)]
     return reports[0].unionByName(reports[1]).select(
@@ -199,7 +199,7 @@ def _(t):
     path = scratch_path(t.spark, "ticks")
     for part in (0, 1):
         some = t.price_ticks.filter(F.pmod(F.xxhash64("time"), F.lit(2)) == part)
-        some.withColumn("day", F.to_date("time")).repartition(1).write.mode("append").partitionBy("day").parquet(path)
+        some.withColumn("day", F.to_date("time")).repartition("day").write.mode("append").partitionBy("day").parquet(path)
     report = lifecycle.partition_report(t.spark.read.parquet(path), AS_OF)
     return lifecycle.maintenance_entry(report, "price_ticks", AS_OF)
 

@@ -92,12 +92,17 @@ def _(t):
     _NUMBERS,
 )
 def _(t):
-    """The consumer writes each batch it is handed under its number."""
-    path = scratch_path(t.spark, "batches")
-    for number, rows in enumerate(reads.get_records_batches(t.records, START, END, batch_size=700)):
-        batch = t.spark.createDataFrame(rows, t.records.select(*rows[0].__fields__).schema)
-        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(path)
-    return t.spark.read.parquet(path)
+    return reads.numbered_records(t.records, START, END, batch_size=700)
+
+
+@query(
+    "records_page",
+    f"""SELECT {_SHAPE}, metadata FROM records WHERE {_RANGE}
+    ORDER BY time DESC, entity_id LIMIT 700 OFFSET 3500""",
+    _NUMBERS,
+)
+def _(t):
+    return reads.records_page(t.records, START, END, 3500, 700)
 
 
 @query(

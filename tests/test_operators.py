@@ -343,3 +343,26 @@ def test_indicators_of_one_symbol_look_back_as_far_as_they_must(ticks):
             one = indicators.sma(some, count, "2024-01-28", symbol).collect()
             every = [r for r in indicators.sma(some, count, "2024-01-28").collect() if r["symbol"] == symbol]
             assert one == every
+
+
+def test_batches_are_numbered_and_pages_cut_by_time(records):
+    rows = records(*[(f"2024-01-15 {k // 60:02d}:{k % 60:02d}:{k * 7 % 60:02d}", f"e{k % 5}", float(k)) for k in range(300)])
+    rows = rows.union(rows.limit(40)).repartition(3)
+    whole = [tuple(r) for r in rows.orderBy(F.desc("time"), "entity_id", "value").collect()]
+    numbered = reads.numbered_records(rows, *DAY, batch_size=7).collect()
+    assert sorted(r["batch"] for r in numbered) == [k // 7 for k in range(340)]
+    by_batch = {}
+    for r in numbered:
+        by_batch.setdefault(r["batch"], set()).add((r["time"], r["entity_id"]))
+    assert by_batch[3] == {(r[0], r[1]) for r in whole[21:28]}
+    for offset, limit in ((0, 5), (100, 33), (333, 50), (340, 5), (900, 1), (10, 0)):
+        page = reads.records_page(rows, *DAY, offset, limit).collect()
+        assert [(r["time"], r["entity_id"]) for r in page] == [(r[0], r[1]) for r in whole[offset : offset + limit]]
+    with pytest.raises(ValueError):
+        reads.records_page(rows, *DAY, -1, 5)
+
+
+def test_values_that_are_missing_are_in_no_bin(records):
+    rows = records(("2024-01-15 10:00", "a", 5.0), ("2024-01-15 11:00", "a", 10.0), ("2024-01-15 12:00", "a", None), ("2024-01-15 13:00", "b", None))
+    got = {(r["entity_id"], r["bin"]): (r["count"], r["percentage"]) for r in agg.value_distribution(rows, *DAY, 2).collect()}
+    assert got == {("a", 0): (1, 50.0), ("a", 1): (1, 50.0)}

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.instants import Instant, at, back, within
+from tidemark.functions.buckets import bucket
+from tidemark.functions.instants import Instant, at, back, instant, within
 from tidemark.functions.measures import VALUE_COLUMNS, ordered, page, pick
 
 Bounds = tuple[float | None, float | None]
@@ -226,6 +228,56 @@ def get_ohlc(
     return _paged(rows, order, "symbol", limit)
 
 
+def time_slices(rows: DataFrame, width: str = "1 minute") -> DataFrame:
+    """``slice, n, before``: rows of each slice of time, and rows in newer ones.
+
+    One small row per slice that has rows; the running sum is over these alone.
+    """
+    counts = rows.groupBy(bucket("time", width).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    newer = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+
+
+def numbered_records(
+    records: DataFrame, start: Instant, end: Instant, entity: str | None = None, batch_size: int = 1000
+) -> DataFrame:
+    """The rows of ``[start, end)`` with the number of their ``batch``, newest first.
+
+    Rows are ranked inside a minute, and counts of newer minutes added, so the numbers are exact
+    and no task sees more than a minute. Equal times are ordered by entity and then by all values.
+    """
+    rows = get_records(records, start, end, entity, include_metadata=True).withColumn("slice", bucket("time", "1 minute"))
+    order = [F.desc("time"), "entity_id", *VALUE_COLUMNS, "metadata"]
+    inside = F.row_number().over(Window.partitionBy("slice").orderBy(*order)) - 1
+    placed = rows.withColumn("_inside", inside).join(time_slices(rows).drop("n"), "slice")
+    number = F.floor((F.col("before") + F.col("_inside")) / batch_size)
+    return placed.withColumn("batch", number.cast("long")).drop("slice", "before", "_inside")
+
+
+def records_page(
+    records: DataFrame, start: Instant, end: Instant, offset: int, limit: int, entity: str | None = None
+) -> DataFrame:
+    """``limit`` rows of ``[start, end)`` after the newest ``offset`` ones.
+
+    Counts per minute tell in which stretch of time the page lies; only rows of that stretch are
+    read as a whole and sorted, however far back the page is.
+    """
+    if offset < 0 or limit < 0:
+        raise ValueError("offset and limit must not be negative")
+    rows = get_records(records, start, end, entity, include_metadata=True)
+    reached = time_slices(rows.select("time")).filter(
+        (F.col("before") < offset + limit) & (F.col("before") + F.col("n") > offset)
+    )
+    low, high, before = reached.agg(F.unix_micros(F.min("slice")), F.unix_micros(F.max("slice")), F.min("before")).first()
+    if low is None:
+        return rows.limit(0)
+    epoch = datetime(1970, 1, 1)
+    low, high = (epoch + timedelta(microseconds=m) for m in (low, high + 60_000_000))
+    held = get_records(records, max(low, instant(start)), min(high, instant(end)), entity, include_metadata=True)
+    order = [F.desc("time"), "entity_id", *VALUE_COLUMNS, "metadata"]
+    return held.orderBy(*order).offset(offset - before).limit(limit)
+
+
 def get_records_batches(
     records: DataFrame,
     start: Instant,
@@ -235,7 +287,8 @@ def get_records_batches(
 ) -> Iterator[list[Row]]:
     """Hand a consumer the rows newest first, a batch at a time.
 
-    One partition is fetched at a time, so the driver never holds the result.
+    One partition is fetched at a time, so the driver never holds the result. Consumers that run
+    on Spark take :func:`numbered_records`, and single pages come from :func:`records_page`.
     """
     ordered_rows = get_records(records, start, end, entity, order="desc", include_metadata=True)
     rows = ordered_rows.toLocalIterator()
