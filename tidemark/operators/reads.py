@@ -231,11 +231,21 @@ def get_ohlc(
 def time_slices(rows: DataFrame, width: str = "1 minute") -> DataFrame:
     """``slice, n, before``: rows of each slice of time, and rows in newer ones.
 
-    One small row per slice that has rows; the running sum is over these alone.
+    One small row per slice that has rows. Days are counted first, a number for each on the
+    driver; the running sums over slices stay inside a day. Rows without a time have no slice.
     """
-    counts = rows.groupBy(bucket("time", width).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
-    newer = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+    counts = rows.filter(F.col("time").isNotNull()).groupBy(bucket("time", width).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    day = F.to_date("slice")
+    newer_days, so_far = [], 0
+    for row in sorted(counts.groupBy(day.alias("day")).agg(F.sum("n").alias("n")).collect(), reverse=True):
+        newer_days.append((row["day"], so_far))
+        so_far += row["n"]
+    days = F.broadcast(rows.sparkSession.createDataFrame(newer_days, "day date, newer long"))
+    newer = Window.partitionBy("day").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n").over(newer), F.lit(0))
+    return counts.withColumn("day", day).withColumn("inside", inside).join(days, "day").select(
+        "slice", "n", (F.col("newer") + F.col("inside")).alias("before")
+    )
 
 
 def numbered_records(
