@@ -198,3 +198,29 @@ def test_toxicity_is_learnt_from_documents_and_located(spark, prose):
     none = trained(labelled(docs, marks.limit(0)))
     assert all(r.score < 1e-6 for r in scored(docs.limit(20), none).collect())
     assert scored(docs.limit(0), model).count() == 0
+
+
+def test_tokens_beside_many_base_spans_take_linear_time():
+    import random
+    import re
+    import time
+
+    from tidemark.llm import secret_scan
+
+    draw = random.Random(8)
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
+    words = [f"token={''.join(draw.choices(signs, k=12))} {''.join(draw.choices(signs, k=28))}" for _ in range(400)]
+    text = " ".join(words)
+    base = secret_scan.base_spans(text)
+    plain = []
+    for m in re.finditer(secret_scan.TOKEN.pattern, text, secret_scan.TOKEN.flags):
+        value = m[0]
+        mixed = any(c.isalpha() for c in value) and any(c.isdigit() for c in value)
+        if mixed and secret_scan._entropy(value) >= secret_scan.MIN_ENTROPY:
+            if all(m.end() <= s or e <= m.start() for s, _, e, _ in base):
+                plain.append((m.start(), 3, m.end(), value))
+    assert plain and secret_scan.token_spans(text, base) == plain
+    long = " ".join(words * 50)  # 860 KB
+    began = time.perf_counter()
+    secret_scan.token_spans(long, secret_scan.base_spans(long))
+    assert time.perf_counter() - began < 5

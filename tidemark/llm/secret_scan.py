@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,11 +50,19 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 def token_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Token-like strings outside the base spans: digits and letters mixed, high entropy."""
+    starts, ends = [], []  # the base spans, those that meet made one
+    for start, _, end, _ in sorted(base):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
     found = []
     for m in TOKEN.finditer(text):
         value = m[0]
         if any(c.isalpha() for c in value) and any(c.isdigit() for c in value) and _entropy(value) >= MIN_ENTROPY:
-            if all(m.end() <= start or end <= m.start() for start, _, end, _ in base):
+            last = bisect_left(starts, m.end()) - 1
+            if last < 0 or ends[last] <= m.start():
                 found.append((m.start(), 3, m.end(), value))
     return found
 
