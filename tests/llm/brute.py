@@ -83,3 +83,19 @@ def lags(order, share):
         seen[source] += 1
         worst = max(worst, *(abs(seen[s] - n * share[s] / total) for s in share))
     return worst
+
+
+def earliest_deadlines(share, slots):
+    """``slot, source, block`` of a plain schedule, slot by slot, of whole shares."""
+    whole, names = sum(share.values()), sorted(share, key=lambda s: (s is not None, s))
+    had, out = dict.fromkeys(names, 0), []
+    for slot in range(slots):
+        ready = [
+            (-(-(had[s] + 1) * whole // share[s]), i, s)
+            for i, s in enumerate(names)
+            if had[s] * whole // share[s] <= slot
+        ]
+        source = min(ready)[2]
+        out.append((slot, source, had[source]))
+        had[source] += 1
+    return out

@@ -16,7 +16,7 @@ from tidemark.llm import chat_format, warc_bundles
 from tidemark.llm.chat_format import escaped, formatted_turns, parsed, read_back, unescaped
 from tidemark.llm.language_id import Ranker, identified, known_languages, profiles
 from tidemark.llm.queries import QUERIES, SQL
-from tidemark.llm.source_mixing import cycle_schedule, cycle_shares, mixed_sources
+from tidemark.llm.source_mixing import block_schedule, mixed_sources, whole_shares
 from tidemark.llm.warc_bundles import archived, marked_revisits, read_bundles, read_seek_table, write_bundles
 
 SMALL = "/root/testdata/sf0.001"
@@ -55,14 +55,43 @@ def test_conversations_come_back(spark):
 
 
 @pytest.mark.parametrize(
-    "weights", [{"a": 0.5} | {f"b{i:02}": 0.01 for i in range(50)}, {"a": 3.0, "b": 2.0, "c": 2.0}, {"x": 1.0}, {"a": 0.9, "b": None, None: -1.0}]
+    ("weights", "slots"),
+    [
+        ({"a": 0.7, "b": 0.1, "c": 0.1, "d": 0.1}, 100_000),
+        ({"a": 2**0.5, "b": 1.0, "c": 5**0.5, "d": 0.1, "e": 0.31}, 100_000),
+        ({"a": 0.5} | {f"b{i:02}": 0.01 for i in range(50)}, 6_000),
+        ({"a": 1.0}, 500),
+        ({"a": 0.9, "b": None, None: -1.0, "c": 0.4}, 6_000),
+    ],
 )
-def test_schedule_stays_within_a_block(spark, weights):
-    shares = cycle_shares(spark.createDataFrame(list(weights.items()), "source string, weight double"), 200)
-    share = {r.source: r.share for r in shares.collect()}
-    assert sum(share.values()) == max(200, 10 * len(share)) and min(share.values()) >= 1
-    order = [r.source for r in cycle_schedule(shares).orderBy("at").collect()]
-    assert len(order) == sum(share.values()) and brute.lags(order, share) < 1
+def test_schedule_stays_within_a_block_of_the_given_weights(spark, weights, slots):
+    from tidemark.llm.source_mixing import WHOLE
+
+    given = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    share = {r.source: r.share for r in whole_shares(given, 200).collect()}
+    assert sum(share.values()) == WHOLE and min(share.values()) >= WHOLE // 500
+    counts = {s: -(-slots * n // WHOLE) + 1 for s, n in share.items()}
+    rows = [(s, share[s], counts[s]) for s in share]
+    planned = block_schedule(spark.createDataFrame(rows, "source string, share long, blocks long"), 200)
+    got = sorted((r.mix_position, r.mix_slot, r.source, r.b) for r in planned.collect())
+    assert [g[0] for g in got] == list(range(sum(counts.values())))
+    assert [(g[1], g[2], g[3]) for g in got[:slots]] == brute.earliest_deadlines(share, slots)
+    wanted = weights if all((w or 0) > 0 for w in weights.values()) else share
+    assert brute.lags([g[2] for g in got[:slots]], wanted) < 1
+
+
+def test_schedule_with_sources_that_run_dry(spark):
+    from tidemark.llm.source_mixing import WHOLE
+
+    share = {"a": WHOLE // 2, "b": WHOLE // 4, "c": WHOLE // 4}
+    counts = {"a": 30, "b": 700, "c": 4_000}
+    rows = [(s, share[s], counts[s]) for s in share]
+    planned = block_schedule(spark.createDataFrame(rows, "source string, share long, blocks long"), 100)
+    got = sorted((r.mix_position, r.mix_slot, r.source, r.b) for r in planned.collect())
+    whole = [p for p in brute.earliest_deadlines(share, 16_001) if p[2] < counts[p[1]]]
+    assert [g[0] for g in got] == list(range(4_730))
+    assert [g[2:] for g in got] == [p[1:] for p in whole]
+    assert [g[1] for g in got] == sorted({g[1] for g in got})
 
 
 def test_mixing_places_every_document(spark):
