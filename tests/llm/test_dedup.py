@@ -109,6 +109,23 @@ def test_rows_without_id_and_repeated_rows(spark):
     assert empty.columns == ["doc_id", "n_shingles", "component_id", "kept"] and empty.count() == 0
 
 
+def test_repeated_ids_with_other_texts_keep_their_links(spark, prose, edited):
+    a, b = prose(80, 1), prose(120, 2)
+    rows = [(1, a), (1, b), (2, edited(a, 30, 5)), (3, edited(b, 40, 6)), (4, prose(60, 9)), (5, b), (1, a)]
+    rows += [(20 + k, edited(prose(90, 70 + k % 4), 18 + k, k)) for k in range(12)] + [(20, prose(90, 70 + k)) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sets = {}
+    for i, text in rows:
+        found = frozenset(brute.word_set(text, 2))
+        sets[found] = min(i, sets.get(found, i))
+    pairs = [(sets[s], sets[t]) for s in sets for t in sets if s != t and 100 * len(s & t) >= 80 * len(s | t)]
+    component = brute.least_reachable(sorted(set(sets.values())), pairs)
+    expected = sorted((i, component[sets[frozenset(brute.word_set(t, 2))]]) for i, t in rows)
+    got = sorted((r.doc_id, r.component_id) for r in near_duplicates(docs, 2).collect())
+    assert got == expected
+    assert [c for i, c in got if i in (2, 3, 5)] == [1, 1, 1]
+
+
 def test_components_of_paths_and_stars(spark):
     draw = random.Random(4)
     pairs = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]

@@ -86,6 +86,13 @@ def _set_batches(batch: pa.RecordBatch, width: int) -> Iterator[tuple[list[int],
         yield rows, sets
 
 
+def _name(found: np.ndarray) -> tuple[int, int]:
+    """The 128-bit name of a set, in halves."""
+    if not len(found):
+        return 0, 0
+    return int(np.bitwise_xor.reduce(mixed(found))), int(mixed(found + np.uint64(7)).sum(dtype=np.uint64))
+
+
 def sketched(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, keys``: a 128-bit name of the set and its band keys."""
     out = pa.schema(
@@ -102,7 +109,7 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
                 if full:
                     for k, row in zip(full, band_keys(similarity_sketches([sets[k] for k in full])), strict=True):
                         keys[k] = row
-                names = [(int(np.bitwise_xor.reduce(mixed(s))), int(mixed(s + np.uint64(7)).sum(dtype=np.uint64))) if len(s) else (0, 0) for s in sets]
+                names = [_name(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(rows)),
@@ -119,18 +126,19 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``id, shingles``: the sorted distinct shingle hashes of every text."""
-    out = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    """``id, tag, shingles``: the sorted distinct shingle hashes of every text, and the first half of the set's name."""
+    out = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
             for rows, sets in _set_batches(batch, width):
                 held = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), held], schema=out)
+                tags = pa.array(np.array([_name(s)[0] for s in sets], dtype=np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), tags, held], schema=out)
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "id long, shingles array<long>")
+    return narrow.mapInArrow(run, "id long, tag long, shingles array<long>")
 
 
 def _spanning_links(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -196,7 +204,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     least ``doc_id`` reachable and ``kept`` says that it is the row's own.
 
     Null and empty texts have an empty set and stand alone. Rows that repeat a ``doc_id``
-    count as that one document, each by its own text. A null ``doc_id`` stands alone:
+    with another text are each linked by their own text; where such a ``doc_id`` is the least of
+    several sets, what any of them is linked with is reachable from all of them. A null ``doc_id`` stands alone:
     ``component_id`` is null and ``kept`` true. Other columns are ignored. Shingles are
     compared as 64-bit hashes.
     """
@@ -208,25 +217,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         full.join(reps, ["set_a", "set_b", "n_shingles"])
         .where("doc_id = rep")
         .dropDuplicates(["rep", "set_a", "set_b"])
-        .select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+        .select(
+            F.col("rep").alias("id"), F.col("set_a").alias("tag"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
+        )
     )
     keyed = written(keyed, "keys")
-    heads = keyed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.count("*").alias("members"))
+    heads = keyed.groupBy("key").agg(F.min(F.struct("id", "tag", "n")).alias("head"), F.count("*").alias("members"))
     heads = heads.where("members > 1").select(
-        "key", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"), "members"
+        "key",
+        F.col("head.id").alias("head"),
+        F.col("head.tag").alias("head_tag"),
+        F.col("head.n").alias("head_n"),
+        "members",
     )
     shared = written(keyed.join(heads, "key"), "buckets")
     spokes = (
         shared.where("id <> head")
         .where(100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n"))
-        .select(F.col("id").alias("a"), F.col("head").alias("b"))
+        .select(F.col("id").alias("a"), F.col("tag").alias("a_tag"), F.col("head").alias("b"), F.col("head_tag").alias("b_tag"))
         .distinct()
     )
     # Sets are read for candidates only. A bucket of two is settled by its spoke.
     wanted = shared.select("id").distinct()
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = shingle_sets(narrow.join(wanted, narrow.doc_id == wanted.id, "left_semi"), width)
-    sets = written(sets.where(F.size("shingles") > 0).dropDuplicates(["id"]), "sets")
+    sets = written(sets.where(F.size("shingles") > 0).dropDuplicates(["id", "tag"]), "sets")
     links = written(_verified(spokes, sets, percent), "links")
     first = components(links)
 
@@ -239,7 +254,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             member.join(large, "key")
             .where("component <> pick.component")
             .where(100 * F.least("n", "pick.n") >= percent * F.greatest("n", "pick.n"))
-            .select(F.col("id").alias("a"), F.col("pick.id").alias("b"))
+            .select(
+                F.col("id").alias("a"),
+                F.col("tag").alias("a_tag"),
+                F.col("pick.id").alias("b"),
+                F.col("pick.tag").alias("b_tag"),
+            )
             .distinct()
         )
         more = written(_verified(more, sets, percent), "links")
@@ -250,7 +270,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         member, buckets = _unsettled(shared, first, turn)
     pieces = _pieces(member, buckets)
     late = (
-        pieces.join(sets, "id")
+        pieces.join(sets, ["id", "tag"])
         .groupBy("key", "i", "j")
         .applyInArrow(_finish(percent), "a long, b long")
     )
@@ -276,7 +296,7 @@ def _unsettled(shared: DataFrame, found: DataFrame, turn: int) -> tuple[DataFram
     sides = member.groupBy("key", "component").agg(
         F.count("*").alias("docs"),
         F.sum("n").alias("total"),
-        F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "n", "component")).alias("pick"),
+        F.min(F.struct(F.xxhash64("id", "tag", F.lit(turn)).alias("order"), "id", "tag", "n", "component")).alias("pick"),
     )
     main = sides.groupBy("key").agg(
         F.max_by(F.struct("component", "docs", "total"), F.struct("docs", -F.col("component"))).alias("main"),
@@ -299,12 +319,12 @@ def _unsettled(shared: DataFrame, found: DataFrame, turn: int) -> tuple[DataFram
 
 
 def _pieces(member: DataFrame, buckets: DataFrame) -> DataFrame:
-    """``key, id, component, i, j``: a row for every pair of blocks a member is compared in.
+    """``key, id, tag, component, i, j``: a row for every pair of blocks a member is compared in.
 
     Pairs of two blocks of the largest component are left out, for they are linked already, and a
     block alone, for it is compared within itself along with any other.
     """
-    spread = F.xxhash64("id")
+    spread = F.xxhash64("id", "tag")
     mine = F.when(F.col("component") == F.col("main"), F.pmod(spread, F.col("main_blocks"))).otherwise(
         F.col("main_blocks") + F.pmod(spread, F.col("rest_blocks"))
     )
@@ -313,18 +333,18 @@ def _pieces(member: DataFrame, buckets: DataFrame) -> DataFrame:
         .withColumn("mine", mine.cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, main_blocks + rest_blocks - 1)")))
         .where("greatest(mine, other) >= main_blocks AND mine <> other")
-        .select("key", "id", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+        .select("key", "id", "tag", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
     )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
+    left = sets.select(F.col("id").alias("a"), F.col("tag").alias("a_tag"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("id").alias("b"), F.col("tag").alias("b_tag"), F.col("shingles").alias("right"))
     both = F.size(F.array_intersect("left", "right"))
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
+        pairs.join(left, ["a", "a_tag"])
+        .join(right, ["b", "b_tag"])
         .where(100 * both >= percent * (F.size("left") + F.size("right") - both))
         .select("a", "b")
     )
