@@ -103,6 +103,11 @@ def test_every_rule_fires_on_its_own_text():
         ("Released under MIT (see LICENSE).", ["MIT"]),
         ("This file is licensed under the Mozilla Public License, v. 2.0.", ["MPL-2.0"]),
         ("Released under MIT\nDocs are free. This text is licensed under CC BY-SA 4.0 International", ["MIT", "CC-BY-SA-4.0"]),
+        ("You may use this software under the MIT license.", ["MIT"]),
+        ("It is licensed under Apache 2.0.", ["Apache-2.0"]),
+        ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["Apache-2.0", "MIT"]),
+        ("Distributed\nunder\nthe\nterms\nof the\nGNU General\nPublic License\nversion 3", ["GPL-3.0"]),
+        ("Released under the MIT" + ", or not" * 50, ["MIT"]),
         ("The programs are available under MIT supervision, licensed under the Apache License 1.1.", []),
     ],
 )
@@ -110,6 +115,33 @@ def test_statements_as_they_are_written(text, licences):
     assert [n for n, _, _ in matched(identifiers(text + " licence"))] == licences
 
 
+def test_licence_texts_that_name_an_organisation():
+    parts = ["redistribution", "source_retains", "binary_reproduces", "no_endorsement"]
+    for one, two in [("the University", "its"), ("Example Widgets and Co", "the"), ("the copyright holder", "its")]:
+        text = "\n\n".join(SENTENCES[n].replace("{name}", one, 1).replace("{name}", two) + "." for n in parts)
+        assert [n for n, _, _ in matched(identifiers(text))] == ["BSD-3-Clause"]
+    text = "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, " \
+        "provided that the above\ncopyright notice and this permission notice appear in all copies."
+    assert [n for n, _, _ in matched(identifiers(text))] == ["ISC"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "the licence, " * 80_000,
+        "the\n" * 250_000 + "licence",
+        "This software is licensed under my own, " + "odd, " * 200_000,
+        "Licensed under " + ",,,, ;" * 170_000,
+    ],
+)
+def test_texts_of_a_megabyte_take_linear_time(text):
+    import time
+
+    began = time.perf_counter()
+    assert identifiers(text) == []
+    assert time.perf_counter() - began < 10
+
+
 def test_the_hint_passes_all_that_the_rules_accept(monkeypatch):
     import re
 

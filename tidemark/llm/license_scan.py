@@ -61,7 +61,7 @@ NAMES = {
     "creative commons attribution noncommercial 4.0": "CC-BY-NC-4.0",
 }
 
-# Sentences of licence texts, and their identifiers.
+# Sentences of licence texts, and their identifiers. Names of organisations stand for {name}.
 SENTENCES = {
     "permission_any": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
     "and associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
@@ -78,6 +78,9 @@ SENTENCES = {
     "permission_fee": "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
     "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
     "all copies",
+    "permission_fee_and": "Permission to use, copy, modify, and distribute this software for any purpose with or "
+    "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
+    "all copies",
     "redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted "
     "provided that the following conditions are met",
     "source_retains": "Redistributions of source code must retain the above copyright notice, this list of conditions "
@@ -85,7 +88,7 @@ SENTENCES = {
     "binary_reproduces": "Redistributions in binary form must reproduce the above copyright notice, this list of "
     "conditions and the following disclaimer in the documentation and/or other materials provided with the "
     "distribution",
-    "no_endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "no_endorsement": "Neither the name of {name} nor the names of {name} contributors may be used to "
     "endorse or promote products derived from this software without specific prior written permission",
     "apache_2": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
     "compliance with the License",
@@ -110,6 +113,7 @@ RULES = [
     ("Apache-2.0", ["apache_2", "apache_copy"]),
     ("Apache-2.0", ["apache_2"]),
     ("ISC", ["permission_fee"]),
+    ("ISC", ["permission_fee_and"]),
     ("GPL-3.0-or-later", ["gpl_3_later"]),
     ("GPL-2.0-or-later", ["gpl_2_later"]),
     ("MPL-2.0", ["mpl_2"]),
@@ -126,25 +130,35 @@ _COMMENT = re.compile(r"(?m)^[ \t]*(?:[#*;]+|//+|--+|<!--)?[ \t]*")
 _DROPPED = re.compile(r"[^a-z0-9.+ ]+")
 _NUMBERED = re.compile(r"^(?:\(?[0-9a-z]\)?[.)] |[0-9] )")
 _STATEMENT = re.compile(
-    r"^(?:(?:this|the) (?:work|project|program|software|file|code|library|document|text|content)s? (?:is|are) )?"
-    r"(?:dual )?(?:released|licensed|distributed|available|published|provided|made available) under "
+    r"^(?:(?:(?:this|the) (?:work|project|program|software|file|code|library|document|text|content)s?|it) (?:is|are) )?"
+    r"(?:(?:dual )?(?:released|licensed|distributed|available|published|provided|made available)|"
+    r"you (?:may|can) (?:use|copy|redistribute) (?:it|(?:this|the) (?:work|project|program|software|file|code|library)s?)) under "
     r"(?:the )?(?:terms of )?(?:the )?(?P<name>.+)$"
 )
 _SPDX = re.compile(r"^spdx license identifier (?P<name>.+)$")
-_OPENS = re.compile(r"(?:this|the|dual|released|licensed|distributed|available|published|provided|made|spdx)\b")
+_OPENS = re.compile(r"(?:this|the|it|you|dual|released|licensed|distributed|available|published|provided|made|spdx)\b")
 _CUT = re.compile(r"[,;(]|\s[-\u2013\u2014]+\s")
 _FILLER = {"license", "licenses", "version", "v", "international", "gnu"}
 _LATER = re.compile(r"(?:(?:license|version) )*(?:(?P<only>only)|(?:or )?(?:at your option )?any later|or (?:at your option )?(?:any )?(?:later|newer)|\+)(?: version)?(?: |$)")
-#: Lines that a statement may take.
-_LINES = 4
+#: Words in which a statement says its licence, or a known sentence ends.
+_REACH = 96
+#: Words that may follow a name and belong to it.
+_AHEAD = 16
 
 
-def normalised(sentence: str) -> str:
-    """Lower case; comment marks, quotes and other punctuation gone; single spaces."""
+def _cleaned(sentence: str) -> str:
     text = _COMMENT.sub("", sentence).lower().replace("licence", "license")
-    text = _DROPPED.sub(" ", text)
-    text = " ".join(text.split()).strip(" .")
-    return _NUMBERED.sub("", text)
+    return " ".join(_DROPPED.sub(" ", text).split()).strip(" .")
+
+
+def normalised(sentence: str) -> str:
+    """Lower case; comment marks, quotes and other punctuation gone; single spaces; no number in front."""
+    return _NUMBERED.sub("", _cleaned(sentence))
+
+
+def _numbered(sentence: str) -> int:
+    """How many words the number in front of a sentence takes."""
+    return int(bool(_NUMBERED.match(_cleaned(sentence))))
 
 
 def _words(name: str) -> list[str]:
@@ -162,16 +176,17 @@ _NAMED = {
 _LONGEST = max(map(len, _NAMED))
 
 
-def _named(name: str) -> tuple[list[str], bool, bool]:
-    """The licences that a statement's object begins with; whether that is all of it, or beyond doubt.
+def _named(words: list[str]) -> tuple[list[str], bool, bool, int]:
+    """The licences that a statement's object begins with; whether that is all of it, or beyond doubt;
+    and how many words that rests on: any more of them would have said the same.
 
     Names joined by "or" and "and" are all taken. A name is beyond doubt if it has a version or
     the word licence with it, so that other words may follow.
     """
-    words, found, sure, at = _words(name), [], True, 0
+    found, sure, at, seen = [], True, 0, 0
     while True:
         start = at
-        while start < len(words) and words[start] in {"a", "an", "the", "either", "both"}:
+        while start < len(words) and words[start] in {"a", "an", "the", "either", "both", "of"}:
             start += 1
         best, taken, i = None, [], start
         while i < len(words) and len(taken) < _LONGEST:
@@ -180,15 +195,17 @@ def _named(name: str) -> tuple[list[str], bool, bool]:
                 if tuple(taken) in _NAMED:
                     best = (_NAMED[tuple(taken)], i + 1)
             i += 1
+        seen = max(seen, i + 1)
         if not best:
-            return found, False, sure
+            return found, False, sure, seen
         tag, end = best
-        later = _LATER.match(" ".join(words[end:]))
+        later = _LATER.match(" ".join(words[end : end + _AHEAD]))
         if later:
             end += len(later[0].split())
             tag += "-only" if later["only"] else "-or-later"
         while end < len(words) and words[end] in _FILLER:
             end += 1
+        seen = max(seen, end + _AHEAD)
         own = words[start:end]
         sure = sure and any(w[0].isdigit() or w in ("license", "licenses") for w in own)
         found.append(tag)
@@ -196,28 +213,69 @@ def _named(name: str) -> tuple[list[str], bool, bool]:
         while at < len(words) and words[at] in ("or", "and"):
             at += 1
         if end == len(words):
-            return found, True, sure
+            return found, True, sure, seen
         if at == end:
-            return found, False, sure
+            return found, False, sure, seen
 
 
-_KNOWN = {normalised(text): name for name, text in SENTENCES.items()}
+_KNOWN = {normalised(text): name for name, text in SENTENCES.items() if "{name}" not in text}
 #: What a known sentence may begin with, for one that the splitter cuts.
 _PREFIXES = {" ".join(plain.split()[:k]).strip(" .") for plain in _KNOWN for k in range(1, len(plain.split()) + 1)}
+_NAME = r"(?: \S+){1,12}? "
+_OPEN = [
+    (normalised(text.split("{name}")[0]), re.compile(_NAME.join(re.escape(normalised(p)) for p in text.split("{name}"))), name)
+    for name, text in SENTENCES.items()
+    if "{name}" in text
+]
 
 
-def identifier(sentence: str) -> str | None:
-    """The identifier of a known licence sentence; ``=X`` or ``=X Y`` for a statement that names licences."""
-    plain = normalised(sentence)
+_BEGINNINGS = (*_KNOWN, *(opens for opens, _, _ in _OPEN))
+
+
+def _known(plain: str) -> str | None:
+    """The identifier of a normalised sentence that is known, whatever organisation it names."""
     if plain in _KNOWN:
         return _KNOWN[plain]
+    return next((name for opens, whole, name in _OPEN if plain.startswith(opens) and whole.fullmatch(plain)), None)
+
+
+def identifier(sentence: str) -> str | None:
+    """The identifier of a known licence sentence; ``=X`` or ``=X Y`` for a statement that names licences.
+
+    A statement may end at any comma and the like: the longest beginning that says a licence
+    counts. The words are read once; only beginnings as short as what the names rest on are tried.
+    """
+    plain = normalised(sentence)
+    known = _known(plain)
+    if known:
+        return known
     if not _OPENS.match(plain):
         return None
-    for end in [len(sentence), *(m.start() for m in reversed(list(_CUT.finditer(sentence))))]:
-        plain = normalised(sentence[:end])
-        for pattern in (_STATEMENT, _SPDX):
-            found = pattern.match(plain)
-            licences, whole, sure = _named(found["name"]) if found else ([], False, False)
+    for pattern in (_STATEMENT, _SPDX):
+        found = pattern.match(plain)
+        if not found:
+            continue
+        words, counts = [], [0]
+        for word in found["name"].split():
+            words += _words(word)
+            counts.append(len(words))
+        before = len(plain.split()) - (len(counts) - 1)
+        licences, whole, sure, seen = _named(words)
+        tried, at, read = {len(words)}, 0, -_numbered(sentence)
+        shorter = []
+        for m in _CUT.finditer(sentence):
+            read += len(_cleaned(sentence[at : m.start()]).split())
+            at = m.start()
+            if read > before:
+                k = counts[min(read - before, len(counts) - 1)]
+                if k > seen:
+                    break
+                if k not in tried:
+                    tried.add(k)
+                    shorter.append(k)
+        for k in [None, *reversed(shorter)]:
+            if k is not None:
+                licences, whole, sure, _ = _named(words[:k])
             if licences and (whole or sure or pattern is _SPDX):
                 return "=" + " ".join(dict.fromkeys(licences))
     return None
@@ -225,7 +283,14 @@ def identifier(sentence: str) -> str | None:
 
 def _statement(lines: list[str]) -> tuple[str | None, int]:
     """The identifier of the statement that begins with the first line, and how many lines it takes."""
-    for most in range(len(lines), 0, -1):
+    words, most = 0, 0
+    while most < len(lines) and words < _REACH:
+        words += len(lines[most].split())
+        most += 1
+    plain = normalised("\n".join(lines[:most]))
+    if not (_STATEMENT.match(plain) or _SPDX.match(plain) or plain.startswith(_BEGINNINGS)):
+        return None, 1
+    for most in range(most, 0, -1):
         known = identifier("\n".join(lines[:most]))
         if known:
             return known, next(k for k in range(1, most + 1) if identifier("\n".join(lines[:k])) == known)
@@ -254,6 +319,7 @@ def identifiers(text: str) -> list[tuple[int, int, int, str]]:
             if q == len(pieces):
                 break
             plain = normalised(text[at : pieces[q][1]])
+        known = known or _known(normalised(whole))
         if known:
             found.append((number, at + len(whole) - len(whole.lstrip()), pieces[last][1], known))
             number += 1
@@ -264,9 +330,9 @@ def identifiers(text: str) -> list[tuple[int, int, int, str]]:
                 line, taken = lines[i], 1
                 if line.strip():
                     plain = normalised(line)
-                    known = _KNOWN.get(plain)
+                    known = _known(plain)
                     if not known and _OPENS.match(plain):
-                        known, taken = _statement(lines[i : i + _LINES])
+                        known, taken = _statement(lines[i : i + _REACH])
                     if known:
                         said = "\n".join(lines[i : i + taken]).rstrip()
                         found.append((number, line_at + len(line) - len(line.lstrip()), line_at + len(said), known))
