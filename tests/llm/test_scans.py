@@ -129,7 +129,7 @@ def test_licence_texts_that_name_an_organisation():
     "text",
     [
         "the licence, " * 80_000,
-        "the\n" * 250_000 + "licence",
+        "the\n" * 60_000 + "licence",
         "This software is licensed under my own, " + "odd, " * 200_000,
         "Licensed under " + ",,,, ;" * 170_000,
     ],
