@@ -105,6 +105,49 @@ def _(t):
     return _collected(t, flows.stream_bucket_agg(records_of(_events(t)), "1 week", "1 hour"))
 
 
+# The events reach over a month; read at a twelfth of their pace they reach over a year.
+_SLOW = 12
+_FIRST = 1_704_067_200_000_000  # 2024-01-01 in microseconds
+
+
+def _slowed(df):
+    return df.withColumn("time", F.timestamp_micros(F.lit(_FIRST) + _SLOW * (F.unix_micros("time") - F.lit(_FIRST))))
+
+
+def _slowed_sql(table):
+    return f"(SELECT * REPLACE (make_timestamp({_FIRST} + {_SLOW} * (epoch_us(time) - {_FIRST})) AS time) FROM {table})"
+
+
+@query(
+    "stream_rollup_monthly",
+    f"""SELECT date_trunc('month', time)::TIMESTAMP AS bucket, symbol, exchange, data_source,
+           arg_min(price, time) AS open, max(price) AS high, min(price) AS low,
+           arg_max(price, time) AS close, sum(volume) AS volume, count(*) AS tick_count,
+           avg(price) AS avg_price, stddev_samp(price) AS price_volatility
+    FROM {_slowed_sql('price_ticks')} GROUP BY 1, 2, 3, 4
+    HAVING date_trunc('month', any_value(time)) + INTERVAL 1 MONTH
+           <= (SELECT max(time) - INTERVAL 10 MINUTE FROM {_slowed_sql('price_ticks')})""",
+    "open high low close volume avg_price price_volatility",
+)
+def _(t):
+    return _collected(t, flows.stream_rollup(_slowed(ticks_of(_events(t))), "1 month", "10 minutes"))
+
+
+@query(
+    "stream_bucket_agg_quarterly",
+    f"""SELECT date_trunc('quarter', time)::TIMESTAMP AS bucket, entity_id, count(*) AS count,
+           avg(value) AS avg, min(value) AS min, max(value) AS max, sum(value) AS sum,
+           arg_min(value, time) AS first, arg_max(value, time) AS last,
+           stddev_samp(value) AS stddev
+    FROM {_slowed_sql('records')} GROUP BY 1, 2
+    HAVING date_trunc('quarter', any_value(time)) + INTERVAL 3 MONTH
+           <= (SELECT max(time) - INTERVAL 1 HOUR FROM {_slowed_sql('records')})""",
+    "avg min max sum first last stddev",
+)
+def _(t):
+    return _collected(t, flows.stream_bucket_agg(_slowed(records_of(_events(t))), "3 months", "1 hour"))
+
+
 @query(
     "stream_latest",
     """SELECT entity_id, max(time) AS time, arg_max_null(value, time) AS value,

@@ -174,7 +174,53 @@ def test_alerts_and_dedupe(spark, feed, tmp_path):
     assert single.count() == 2
 
 
-def test_calendar_widths_are_refused(spark):
+@pytest.mark.parametrize("width", ["1 month", "1 quarter", "1 year"])
+def test_calendar_buckets_from_a_stream_equal_the_batch_ones(spark, feed, tmp_path, width):
+    add, stream, folder = feed
+    width = "3 months" if width == "1 quarter" else width
+    day = 24 * 60
+    # From 15 January 2024 on: leap day, ends of months to the minute, two years.
+    add(*[(m, e, float(m % 97)) for m in range(0, 700 * day, 5 * day + 7) for e in ("a", "b")])
+    add((45 * day - 1, "a", 1000.0), (46 * day - 1, "a", 2000.0), (900 * day, "c", 1.0))
+    out = _run(flows.stream_bucket_agg(stream(), width, "1000 days"), tmp_path)
+    source = spark.read.schema(SCHEMA).parquet(folder)
+    end = "2026-07-03"  # of the newest row
+    batch = time_bucket_agg(source, width, "2000-01-01", end)
+    columns = ["bucket", "entity_id", "count", "avg", "min", "max", "first", "last"]
+    assert spark.read.parquet(out).count() == 0  # nothing is closed within the delay
+    again = str(tmp_path / "again")
+    flows.run_available(flows.write_stream(flows.stream_bucket_agg(flows.read_stream(spark, folder, SCHEMA), width, "1 day"), again, str(tmp_path / "s2")))
+    got = {tuple(r) for r in spark.read.parquet(again).select(*columns).collect()}
+    wanted = {tuple(r) for r in batch.select(*columns).collect() if r["entity_id"] != "c"}
+    assert got == wanted and len(got) > 3
+
+
+def test_a_month_closes_when_its_lateness_has_passed(spark, feed, tmp_path):
+    add, stream, _ = feed
+    day = 24 * 60
+    march = 46 * day  # 1 March 2024
+    add((30 * day, "a", 1.0), (march + 5, "a", 2.0))
+    add((march - 2, "a", 3.0))  # seven minutes late, of ten
+    add((march + 20, "a", 4.0))
+    add((march + 21, "a", 4.0))  # a batch takes late rows by the watermark of the one before
+    add((march - 1, "a", 5.0), (march + 22, "a", 4.0))  # too late
+    out = _run(flows.stream_bucket_agg(stream(), "1 month", "10 minutes"), tmp_path)
+    got = {(r["bucket"].month, r["count"], r["max"]) for r in spark.read.parquet(out).collect()}
+    assert got == {(2, 2, 3.0)}
+
+
+def test_the_delay_on_the_even_calendar_is_never_shorter(spark):
+    assert flows.even_delay("10 minutes") == "600 seconds"
+    assert flows.even_delay("40 days") == f"{43 * 86_400} seconds"
+    start = datetime(2023, 1, 1)
+    rows = [(start + timedelta(hours=7 * k),) for k in range(4_000)]
+    df = spark.createDataFrame(rows, "time timestamp")
+    for width in ("1 month", "5 months", "1 year"):
+        found = [r[0] for r in df.orderBy("time").select(F.unix_micros(flows.even_calendar(width))).collect()]
+        assert found == sorted(set(found))
+
+
+def test_calendar_widths_have_no_window_of_fixed_length(spark):
     with pytest.raises(ValueError):
         flows.tumbling("1 month")
     df = spark.range(1).select(F.current_timestamp().alias("time"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.functions.buckets import ORIGIN, Width, parse_width
+from tidemark.functions.buckets import ORIGIN, Width, bucket_index, bucket_start, parse_width
 from tidemark.functions.measures import VALUE_COLUMNS, first_by, last_by
 from tidemark.operators.quality import REASON, with_record_reason
 from tidemark.operators.reads import Bounds, threshold_alerts
@@ -43,34 +43,78 @@ def read_stream(
     return reader.parquet(path)
 
 
+MONTH = 31  # days of any month on the even calendar
+
+
 def tumbling(width: str | Width, time: str = "time") -> Column:
-    """Window column on the same grid as the batch buckets."""
+    """Window column on the same grid as the batch buckets, for widths of a fixed length."""
     width = parse_width(width)
     if width.months:
-        raise ValueError("calendar widths cannot be streamed; use a batch rollup")
+        raise ValueError("a calendar width has no window of a fixed length; stream_bucket_agg and stream_rollup take it")
     shift = int((ORIGIN - datetime(1970, 1, 1)).total_seconds() % width.seconds)
     length = f"{int(width.seconds)} seconds"
     return F.window(time, length, length, f"{shift} seconds")
 
 
+def even_calendar(width: str | Width, time: str = "time") -> Column:
+    """A time on a calendar whose months all have 31 days: its bucket there has a fixed length.
+
+    The distance from the start of the bucket stays what it is, so the order of times stays too,
+    and a bucket there ends when the next one begins.
+    """
+    width, index = parse_width(width), bucket_index(time, width)
+    inside = F.unix_micros(time) - F.unix_micros(bucket_start(index, width))
+    return F.timestamp_micros(index * F.lit(_even_micros(width)) + inside)
+
+
+def _even_micros(width: Width) -> int:
+    return width.months * MONTH * 86_400_000_000
+
+
+def even_delay(lateness: str | Width) -> str:
+    """A watermark delay on the even calendar that closes no bucket before ``lateness`` has passed.
+
+    Between two times there lie, beyond their distance, up to three days for every whole month.
+    """
+    given = parse_width(lateness)
+    seconds = given.months * MONTH * 86_400 if given.months else int(given.seconds)
+    return f"{seconds + 3 * 86_400 * (seconds // (28 * 86_400))} seconds"
+
+
+def _bucketed(rows: DataFrame, width: str | Width, lateness: str, keys: Sequence[str], sums: Sequence[Column]) -> DataFrame:
+    """Rows summed up by bucket and ``keys``; calendar buckets are windows of the even calendar."""
+    width = parse_width(width)
+    if width.months:
+        place = rows.withColumn("_place", even_calendar(width)).withWatermark("_place", even_delay(lateness))
+        window = F.window("_place", f"{width.months * MONTH} days")
+        index = _whole(F.unix_micros("_window.start"), _even_micros(width))
+        start = bucket_start(index, width)
+    else:
+        place, window, start = rows.withWatermark("time", lateness), tumbling(width), F.col("_window.start")
+    summed = place.groupBy(window.alias("_window"), *keys).agg(*sums)
+    return summed.withColumn("bucket", start).drop("_window")
+
+
+def _whole(number: Column, unit: int) -> Column:
+    return F.call_function("div", number, F.lit(unit))
+
+
 def stream_bucket_agg(records: DataFrame, width: str | Width, lateness: str) -> DataFrame:
-    """Bucket statistics per entity, each bucket sent once it can no longer change."""
-    return (
-        records.withWatermark("time", lateness)
-        .groupBy(tumbling(width).alias("_window"), "entity_id")
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.avg("value").alias("avg"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.sum("value").alias("sum"),
-            first_by("value").alias("first"),
-            last_by("value").alias("last"),
-            F.stddev("value").alias("stddev"),
-        )
-        .withColumn("bucket", F.col("_window.start"))
-        .drop("_window")
-    )
+    """Bucket statistics per entity, each bucket sent once it can no longer change.
+
+    Months and years close by the calendar, ``lateness`` after their last day.
+    """
+    sums = [
+        F.count(F.lit(1)).alias("count"),
+        F.avg("value").alias("avg"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.sum("value").alias("sum"),
+        first_by("value").alias("first"),
+        last_by("value").alias("last"),
+        F.stddev("value").alias("stddev"),
+    ]
+    return _bucketed(records, width, lateness, ["entity_id"], sums)
 
 
 def stream_rollup(
@@ -83,15 +127,10 @@ def stream_rollup(
     """Bars from a tick stream, each sent once it can no longer change.
 
     The watermark delay plays the part of a refresh policy's end offset. Ticks
-    that come later still are picked up by a batch refresh of the window.
+    that come later still are picked up by a batch refresh of the window. Months and
+    years close by the calendar.
     """
-    return (
-        ticks.withWatermark("time", lateness)
-        .groupBy(tumbling(width).alias("_window"), *keys)
-        .agg(*ohlcv_columns(), *extras)
-        .withColumn("bucket", F.col("_window.start"))
-        .drop("_window")
-    )
+    return _bucketed(ticks, width, lateness, keys, [*ohlcv_columns(), *extras])
 
 
 def stream_alerts(df: DataFrame, limits: Mapping[str, Bounds]) -> DataFrame:
