@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -71,6 +72,28 @@ def test_the_memory_of_words_is_bounded(vocabulary, library, monkeypatch):
     assert len(vocabulary.known) <= 200
 
 
+def test_runs_of_several_parts_are_cut_and_merged_once(vocabulary, library, monkeypatch):
+    fresh, merged = Vocabulary(vocabulary.content), []
+    monkeypatch.setattr(fresh, "learn", lambda words: merged.extend(words) or Vocabulary.learn(fresh, words))
+    parts = [["one two, two", "", "two <|endoftext|>three"], ["one\u2003three"], ["two,", " "]]
+    got = [text.tolist() for ids, ends in fresh.flat(parts) for text in np.split(ids, ends[1:-1])]
+    texts = [text for part in parts for text in part]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert sorted(merged) == [",", "one", "three", "two"]
+
+
+def test_a_worker_builds_the_vocabulary_once(vocabulary):
+    same = "".join([vocabulary.content, ""])
+    assert byte_pairs.vocabulary_of(vocabulary.content) is byte_pairs.vocabulary_of(same)
+
+
+def test_marks_between_runs_are_not_taken_from_texts(library, vocabulary):
+    texts = ["\n49407", "a\t49407\n5 \t'll\n", "\u0378\t12\n49407 don't\x1cx", "\n<|endoftext|>\n49406\t\u0378"]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in vocabulary.encode(texts)] == expected
+    assert vocabulary.encode([]) == [] and vocabulary.encode([""])[0].tolist() == []
+
+
 def test_rows_of_every_kind(spark, library, monkeypatch):
     monkeypatch.setattr(byte_pairs, "FLUSH", 100)  # several parts to a batch
     rows = [(1, "Hello <|endoftext|> World's"), (1, "Hello <|endoftext|> World's"), (None, "x"), (2, None), (3, ""), (4, " \n")]

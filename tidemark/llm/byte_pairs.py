@@ -10,6 +10,9 @@ The rules around the merges are those of the vocabulary file: special tokens are
 raw text; the rest is composed (NFC), runs of white space become one space, letters become small
 one by one, and words are found by a fixed pattern. Code points that Python's Unicode tables do
 not know yet are left to the file's own normaliser and splitter.
+
+As no word holds white space, texts are split there first. Arrow tells their runs apart over many
+texts at once; a distinct run is cut into words once, and a distinct word merged once.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +29,22 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-CACHE = 400_000  # words that one task remembers beyond those of the batch at hand
-FLUSH = 1 << 20  # characters, or ids, that a task works on at once; a longer text comes alone
-SHORT = 64  # words of up to so many bytes are merged many at once
-TOGETHER = 8_192
+CACHE = 400_000  # words that a worker remembers beyond those of the batch at hand
+FLUSH = 1 << 20  # bytes, or ids, that a task works on at once; a longer text comes alone
+SPAN = 1 << 22  # bytes of texts of which the words are told apart at once
+SHORT = 64  # words of up to so many bytes are merged many at once, and remembered
+TOGETHER = 1 << 16  # leaves of the trees that are merged at once
 NONE = 1 << 62  # a leaf without a merge
 
 # Fixed value: how the vocabulary file cuts words.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
+# All that the pattern takes for white space, of which no word holds any. A line has only blanks
+# of it left between its runs, so that two others can mark runs that are not cut any more.
+SPACES = [chr(c) for c in range(0x3001) if regex.match(r"\s", chr(c))]
+SPECIAL, WORD = "\n", "\t"  # before the id of a special token; before a word that the file has cut
+CUT = regex.compile(rf"{SPECIAL}[0-9]+|{WORD}[^ ]+|{PATTERN.pattern}| ")
+
 
 def byte_signs() -> list[str]:
     """The printable character that stands for each byte: itself, or the next one from 256 on."""
@@ -94,7 +104,7 @@ def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -
 
 
 class Vocabulary:
-    """The tokens and merges of one vocabulary file; built from its content in every task."""
+    """The tokens and merges of one vocabulary file, and the words merged so far."""
 
     def __init__(self, content: str):
         held = json.loads(content)
@@ -112,24 +122,24 @@ class Vocabulary:
         self.inner = np.array([ids.get(s, -1) for s in signs], dtype=np.int64)
         self.last = np.array([ids.get(s + suffix, -1) for s in signs], dtype=np.int64)
         self.special = {t["content"]: t["id"] for t in held["added_tokens"]}
-        names = {i: t for t, i in {**ids, **self.special}.items()}
-        self.ints = list(range(max(names) + 1))
-        self.tokens = pa.array([names.get(i) for i in self.ints], pa.string())
         longest = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, longest))) if longest else None
         self.seen = {chr(c) for c in range(128)}  # characters that Python's tables know
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # the ids of words, four bytes each
+        self.fixed = {" ": b""} | {f"{SPECIAL}{i}": np.int32(i).tobytes() for i in self.special.values()}
         self._file = None
 
-    def learn(self, words: list[str]) -> None:
-        """Merge words that are not known yet, the short ones of one width together."""
-        coded = [w.encode() for w in words]
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Merge words, the short ones of one width together."""
+        out = {}
+        coded = [w.removeprefix(WORD).encode() for w in words]
         sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
         widths = np.left_shift(1, np.maximum(1, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)))
         for width in np.unique(widths).tolist():
             group = np.flatnonzero(widths == width)
-            for at in range(0, len(group), TOGETHER if width <= SHORT else 1):
-                part = group[at : at + (TOGETHER if width <= SHORT else 1)]
+            step = TOGETHER // width if width <= SHORT else 1
+            for at in range(0, len(group), step):
+                part = group[at : at + step]
                 data = np.frombuffer(b"".join([coded[i] for i in part]), dtype=np.uint8)
                 ends = np.cumsum(sizes[part])
                 symbols = self.inner[data]
@@ -138,62 +148,73 @@ class Vocabulary:
                 held = np.diff(np.concatenate([[0], np.cumsum(~lacking)])[np.append(0, ends)])
                 symbols = symbols[~lacking]
                 if width > SHORT:
-                    self.known[words[part[0]]] = merged(symbols.tolist(), self.merges)
+                    out[words[part[0]]] = np.array(merged(symbols.tolist(), self.merges), dtype=np.int32).tobytes()
                     continue
                 found = self.merged_together(symbols, held, width)
-                stops = np.cumsum((found >= 0).sum(1)).tolist()
-                ids = list(map(self.ints.__getitem__, found[found >= 0].tolist()))
+                left = found >= 0
+                stops = np.cumsum(left.sum(1) * 4).tolist()
+                ids = found[left].astype(np.int32).tobytes()
                 for i, start, stop in zip(part.tolist(), [0, *stops[:-1]], stops, strict=True):
-                    self.known[words[i]] = ids[start:stop]
+                    out[words[i]] = ids[start:stop]
+        return out
 
     def merged_together(self, flat: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
         """What ``merged`` does, for many words at once: one row of the arrays is one tree.
 
         ``flat`` holds the symbols of all words; a row of the result holds those of one, and -1.
         """
-        n = len(sizes)
-        symbols = np.full((n, width + 1), -1, dtype=np.int64)
-        symbols[np.arange(width + 1) < sizes[:, None]] = flat
-        after = np.tile(np.arange(1, width + 2), (n, 1))
-        before = np.tile(np.arange(-1, width), (n, 1))
-        tree = np.full((n, 2 * width), NONE, dtype=np.int64)
+        n, across = len(sizes), width + 1
+        symbols = np.full((n, across), -1, dtype=np.int64)
+        symbols[np.arange(across) < sizes[:, None]] = flat
 
         def keys(left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
             pair = np.where((left < 0) | (right < 0), NONE - 1, left << 32 | right)
             found = np.searchsorted(self.pairs, pair)
             return np.where(self.pairs[found] == pair, self.keys[found] + place, NONE)
 
+        tree = np.full((n, 2 * width), NONE, dtype=np.int64)
         tree[:, width:] = keys(symbols[:, :-1], symbols[:, 1:], np.arange(width))
-        for node in range(width - 1, 0, -1):
-            tree[:, node] = np.minimum(tree[:, 2 * node], tree[:, 2 * node + 1])
+        half = width // 2
+        while half:
+            tree[:, half : 2 * half] = np.minimum(tree[:, 2 * half : 4 * half : 2], tree[:, 2 * half + 1 : 4 * half : 2])
+            half //= 2
+        # From here on all rows lie in one line each, and cells are named by their place in it.
+        tree, held = tree.reshape(-1), symbols.reshape(-1)
+        after = np.tile(np.arange(1, width + 2), n)
+        before = np.tile(np.arange(-1, width), n)
         row = np.arange(n)
         while True:
-            row = row[tree[row, 1] < NONE]
+            root = tree[row * (2 * width) + 1]
+            going = root < NONE
+            row, root = row[going], root[going]
             if not len(row):
-                break
-            root = tree[row, 1]
+                return symbols
+            line, top = row * across, row * (2 * width)
             at, new = root & 0x1FFFFF, root >> 21 & 0x1FFFFF
-            gone = after[row, at]
-            symbols[row, at] = new
-            symbols[row, gone] = -1
-            follows = after[row, gone]
-            after[row, at] = follows
-            before[row, np.minimum(follows, width)] = at
-            previous = before[row, at]
+            here = line + at
+            gone = after[here]
+            held[here] = new
+            held[line + gone] = -1
+            follows = after[line + gone]
+            after[here] = follows
+            next_to = line + np.minimum(follows, width)
+            before[next_to] = at
+            previous = before[here]
             first = previous < 0
-            key = keys(new, symbols[row, np.minimum(follows, width)], at)
             place = np.where(first, at, previous)
-            tree[row, width + np.minimum(gone, width - 1)] = NONE
-            tree[row, width + at] = key
-            tree[row, width + place] = np.where(first, key, keys(symbols[row, place], new, place))
-            node, rows = np.concatenate([at, gone, place]) + width, np.tile(row, 3)
+            key = keys(new, held[next_to], at)
+            leaves = top + width
+            tree[leaves + np.minimum(gone, width - 1)] = NONE
+            tree[leaves + at] = key
+            tree[leaves + place] = np.where(first, key, keys(held[line + place], new, place))
+            node, tops = np.concatenate([at, gone, place]) + width, np.tile(top, 3)
             for _ in range(width.bit_length() - 1):
                 node >>= 1
-                tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
-        return symbols
+                pair = tops + 2 * node
+                tree[tops + node] = np.minimum(tree[pair], tree[pair + 1])
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text without special tokens. White space never enters a word."""
+    def line(self, text: str) -> str:
+        """A text without special tokens as runs with blanks between; no word reaches over a blank."""
         if not text.isascii():
             for sign in set(text) - self.seen:
                 if unicodedata.category(sign) == "Cn":
@@ -201,46 +222,97 @@ class Vocabulary:
                 self.seen.add(sign)
             text = unicodedata.normalize("NFC", text)
         # A capital sigma is the one letter that str.lower treats by its place in the word.
-        return PATTERN.findall("".join(map(str.lower, text)) if "Σ" in text else text.lower())
+        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+        for space in SPACES:
+            if space in text:
+                text = text.replace(space, " ")
+        return text
 
-    def _by_file(self, text: str) -> list[str]:
+    def _by_file(self, text: str) -> str:
         if self._file is None:
             from tokenizers import Tokenizer
 
             self._file = Tokenizer.from_str(self.content)
         text = self._file.normalizer.normalize_str(text)
-        return [text[a:b] for _, (a, b) in self._file.pre_tokenizer.pre_tokenize_str(text)]
+        return " ".join(WORD + text[a:b] for _, (a, b) in self._file.pre_tokenizer.pre_tokenize_str(text))
 
-    def pieces(self, text: str) -> list[list[str] | int]:
-        """The words between special tokens, and the tokens' ids."""
-        out: list[list[str] | int] = []
+    def marked(self, text: str) -> str:
+        """A text as runs with blanks between; special tokens are runs of their own."""
+        out: list[str] = []
         at = 0
         for met in self.cut.finditer(text) if self.cut else ():
-            out += [self.words(text[at : met.start()]), self.special[met.group()]]
+            out += [self.line(text[at : met.start()]), f"{SPECIAL}{self.special[met.group()]}"]
             at = met.end()
-        out.append(self.words(text[at:] if at else text))
-        return out
+        if not out:
+            return self.line(text)
+        return " ".join([*out, self.line(text[at:])])
+
+    def known_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some distinct words."""
+        found = list(map(self.known.get, words))
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.known) + len(lacking) > CACHE:
+            self.known = {w: ids for w, ids in zip(words, found, strict=True) if ids is not None}
+        new = self.learn([w for w in map(words.__getitem__, lacking) if w not in self.fixed])
+        self.known |= new
+        for long in [w for w in new if len(w) > SHORT]:
+            del self.known[long]
+        new |= self.fixed
+        for i in lacking:
+            found[i] = new[words[i]]
+        return found
+
+    def flat(self, parts: list[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each part, the ids of its texts one after the other, and where each text's begin and end.
+
+        Runs that the parts have in common are cut once, and words that runs have in common merged once.
+        """
+        lines = [pc.split_pattern(pa.array(map(self.marked, texts), pa.large_string()), " ") for texts in parts]
+        runs = pa.chunked_array([line.flatten().dictionary_encode() for line in lines]).unify_dictionaries()
+        words = pa.array(CUT.findall(" ".join(runs.chunk(0).dictionary.to_pylist())), pa.large_string())
+        blanks = np.flatnonzero(pc.equal(words, " ").to_numpy(zero_copy_only=False))
+        words = words.dictionary_encode()
+        found = self.known_ids(words.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        ids, ends = _taken(np.frombuffer(b"".join(found), dtype=np.int32), sizes, words.indices.to_numpy())
+        sizes = np.diff(ends[np.concatenate([[0], blanks, [len(words)]])])
+        for line, met in zip(lines, runs.chunks, strict=True):
+            out, ends = _taken(ids, sizes, met.indices.to_numpy())
+            yield out, ends[line.offsets.to_numpy()]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text; special tokens in it become their ids."""
-        cut = [self.pieces(t) for t in texts]
-        used = set(chain.from_iterable(p for pieces in cut for p in pieces if not isinstance(p, int)))
-        if len(self.known) + len(used) > CACHE:
-            self.known = {w: self.known[w] for w in used & self.known.keys()}
-        self.learn(list(used - self.known.keys()))
-        get, empty = self.known.__getitem__, np.empty(0, dtype=np.int32)
-        out = []
-        for pieces in cut:
-            ids = [np.array([p] if isinstance(p, int) else list(chain.from_iterable(map(get, p))), dtype=np.int32) for p in pieces if p != []]
-            out.append(ids[0] if len(ids) == 1 else np.concatenate([empty, *ids]))
-        return out
+        return [part for ids, ends in self.flat([texts]) for part in np.split(ids, ends[1:-1])] if texts else []
+
+
+def _taken(held: np.ndarray, sizes: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items of ``held``, of which ``sizes`` are the sizes, in the order ``met``; and where each begins and ends."""
+    taken = sizes[met]
+    ends = np.concatenate([[0], np.cumsum(taken)])
+    places = np.repeat((np.cumsum(sizes) - sizes)[met] - ends[:-1], taken)
+    places += np.arange(len(places))
+    return held[places], ends
+
+
+@lru_cache(maxsize=1)
+def vocabulary_of(content: str) -> Vocabulary:
+    """The vocabulary of a file, built once in a worker and kept for its next tasks."""
+    return Vocabulary(content)
+
+
+@lru_cache(maxsize=1)
+def tokens_of(content: str) -> pa.Array:
+    """The token of every id, null where the file has none."""
+    held = json.loads(content)
+    names = {i: t for t, i in held["model"]["vocab"].items()} | {t["id"]: t["content"] for t in held["added_tokens"]}
+    return pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
 
 
-def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+def _parts(sizes: np.ndarray, bound: int) -> Iterator[tuple[int, int]]:
     """Cut the rows of a batch, of which ``sizes`` are the running sizes, into bounded parts."""
     start = 0
     while start < len(sizes) - 1:
-        stop = max(start + 1, int(np.searchsorted(sizes, sizes[start] + FLUSH, side="right")) - 1)
+        stop = max(start + 1, int(np.searchsorted(sizes, sizes[start] + bound, side="right")) - 1)
         yield start, stop
         start = stop
 
@@ -262,15 +334,15 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     schema = _shaped(docs, StructField("ids", ArrayType(IntegerType())))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(content.value)
+        vocabulary = vocabulary_of(content.value)
         for batch in batches:
             sizes = np.cumsum([0, *pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()])
-            for start, stop in _parts(sizes):
-                texts = [t or "" for t in batch.column(1).slice(start, stop - start).to_pylist()]
-                held = vocabulary.encode(texts)
-                ends = np.cumsum([0, *map(len, held)], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), ids], names=["doc_id", "ids"])
+            for first, last in _parts(sizes, SPAN):
+                places = [(first + a, first + b) for a, b in _parts(sizes[first : last + 1], FLUSH)]
+                parts = [[t or "" for t in batch.column(1).slice(a, b - a).to_pylist()] for a, b in places]
+                for (start, stop), (held, ends) in zip(places, vocabulary.flat(parts), strict=True):
+                    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(held))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), ids], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
@@ -286,11 +358,11 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     schema = _shaped(rows, StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType()))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Vocabulary(content.value).tokens
+        tokens = tokens_of(content.value)
         for batch in batches:
             lists = batch.column(1)
             sizes = np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_pylist()])
-            for start, stop in _parts(sizes):
+            for start, stop in _parts(sizes, FLUSH):
                 part = lists.slice(start, stop - start)
                 ids = part.flatten().to_numpy(zero_copy_only=False)
                 lengths = sizes[start : stop + 1] - sizes[start]
