@@ -94,6 +94,12 @@ def test_marks_between_runs_are_not_taken_from_texts(library, vocabulary):
     assert vocabulary.encode([]) == [] and vocabulary.encode([""])[0].tolist() == []
 
 
+def test_marks_newer_than_the_library_are_not_put_in_order(library, vocabulary):
+    texts = ["a\u0354\U00011d45 b", "\U00011935\U00011930", "x\u0345\u08d3 don't", "a\u0345\u0301"]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in vocabulary.encode(texts)] == expected
+
+
 def test_rows_of_every_kind(spark, library, monkeypatch):
     monkeypatch.setattr(byte_pairs, "FLUSH", 100)  # several parts to a batch
     rows = [(1, "Hello <|endoftext|> World's"), (1, "Hello <|endoftext|> World's"), (None, "x"), (2, None), (3, ""), (4, " \n")]

@@ -8,8 +8,9 @@ word of n bytes costs n log n however long it is.
 
 The rules around the merges are those of the vocabulary file: special tokens are cut out of the
 raw text; the rest is composed (NFC), runs of white space become one space, letters become small
-one by one, and words are found by a fixed pattern. Code points that Python's Unicode tables do
-not know yet are left to the file's own normaliser and splitter.
+one by one, and words are found by a fixed pattern. Texts with code points that Python's Unicode
+tables do not know yet, or compose and order otherwise than the tokenizers library, whose tables
+are older, are left to the file's own normaliser and splitter.
 
 As no word holds white space, texts are split there first. Arrow tells their runs apart over many
 texts at once; a distinct run is cut into words once, and a distinct word merged once.
@@ -217,7 +218,7 @@ class Vocabulary:
         """A text without special tokens as runs with blanks between; no word reaches over a blank."""
         if not text.isascii():
             for sign in set(text) - self.seen:
-                if unicodedata.category(sign) == "Cn":
+                if unicodedata.category(sign) == "Cn" or sign >= "\u0300" and sign in composed_otherwise():
                     return self._by_file(text)
                 self.seen.add(sign)
             text = unicodedata.normalize("NFC", text)
@@ -294,6 +295,23 @@ def _taken(held: np.ndarray, sizes: np.ndarray, met: np.ndarray) -> tuple[np.nda
     return held[places], ends
 
 
+@lru_cache(maxsize=1)
+def composed_otherwise() -> frozenset[str]:
+    """Signs that Python composes, or orders among other marks, and the tokenizers library does not, or the reverse."""
+    from tokenizers import normalizers
+
+    probes = []
+    for sign in map(chr, range(0x300, 0x110000)):
+        apart = unicodedata.normalize("NFD", sign) if unicodedata.decomposition(sign)[:1] not in ("", "<") else sign
+        if apart != sign:
+            probes.append((sign + apart, apart))
+        if unicodedata.combining(sign):
+            probes.append((sign, "\u0345" + sign))  # a mark of the highest class
+    theirs = normalizers.NFC().normalize_str(" ".join(probe for _, probe in probes)).split(" ")
+    mine = [unicodedata.normalize("NFC", probe) for _, probe in probes]
+    return frozenset("".join(signs for (signs, _), a, b in zip(probes, mine, theirs, strict=True) if a != b))
+
+
 @lru_cache(maxsize=1)
 def vocabulary_of(content: str) -> Vocabulary:
     """The vocabulary of a file, built once in a worker and kept for its next tasks."""
