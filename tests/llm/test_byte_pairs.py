@@ -94,6 +94,11 @@ def test_marks_between_runs_are_not_taken_from_texts(library, vocabulary):
     assert vocabulary.encode([]) == [] and vocabulary.encode([""])[0].tolist() == []
 
 
+def test_white_space_of_any_length_is_one_blank(vocabulary):
+    assert vocabulary.line(" \n" * 100_000 + "A\u2003\u2003b" + "\t" * 100_000) == " a b "
+    assert [ids.tolist() for ids in vocabulary.encode([" \n" * 100_000, ""])] == [[], []]
+
+
 def test_marks_newer_than_the_library_are_not_put_in_order(library, vocabulary):
     texts = ["a\u0354\U00011d45 b", "\U00011935\U00011930", "x\u0345\u08d3 don't", "a\u0345\u0301"]
     expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]

@@ -43,6 +43,7 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N
 # All that the pattern takes for white space, of which no word holds any. A line has only blanks
 # of it left between its runs, so that two others can mark runs that are not cut any more.
 SPACES = [chr(c) for c in range(0x3001) if regex.match(r"\s", chr(c))]
+BLANKS = regex.compile("  +")
 SPECIAL, WORD = "\n", "\t"  # before the id of a special token; before a word that the file has cut
 CUT = regex.compile(rf"{SPECIAL}[0-9]+|{WORD}[^ ]+|{PATTERN.pattern}| ")
 
@@ -227,7 +228,7 @@ class Vocabulary:
         for space in SPACES:
             if space in text:
                 text = text.replace(space, " ")
-        return text
+        return BLANKS.sub(" ", text) if "  " in text else text
 
     def _by_file(self, text: str) -> str:
         if self._file is None:
