@@ -57,6 +57,22 @@ def test_negatives_match_every_pair(spark, small_tiles):
     assert got(hard_negatives(df.repartition(5), F.col("vec_id") % 10 == 0)) == plain(rows, 10)
 
 
+def test_visits_are_not_sent_through_the_driver(spark, small_tiles, monkeypatch):
+    # Anchors are repeated for each tile they visit, so that their compressed size says nothing.
+    plans, visited = [], module._visited
+
+    def watched(*args):
+        found = visited(*args)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(module, "_visited", watched)
+    rows = clustered(np.random.default_rng(6), 300, 8)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(hard_negatives(df, F.col("vec_id") % 10 == 0)) == plain(rows, 10)
+    assert len(plans) == 4 and not any("Broadcast" in plan for plan in plans)
+
+
 def test_a_hot_anchor_vector_is_spread(spark, small_tiles, monkeypatch):
     monkeypatch.setattr(module, "HOT", 5)
     draw = np.random.default_rng(2)

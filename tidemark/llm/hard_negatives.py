@@ -386,7 +386,8 @@ def _visited(tiles: DataFrame, visits: DataFrame, same: bool, k: int) -> DataFra
     """What the visits ``(tile, anchor, needs)`` find in their tiles."""
     packs = visits.withColumn("pack", F.pmod(F.xxhash64("number"), F.lit(PACKS)).cast("int"))
     packs = packs.groupBy("tile", "pack").agg(F.collect_list(F.struct("name1", "name2", "label", "vector", "needs")).alias("anchors"))
-    met = packs.join(tiles.select(F.col("number").alias("tile"), "entries"), "tile").select("anchors", "entries")
+    # Never broadcast: Spark would judge by the compressed files, before each anchor is repeated for its tiles.
+    met = packs.hint("merge").join(tiles.select(F.col("number").alias("tile"), "entries"), "tile").select("anchors", "entries")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
