@@ -70,7 +70,24 @@ def test_visits_are_not_sent_through_the_driver(spark, small_tiles, monkeypatch)
     rows = clustered(np.random.default_rng(6), 300, 8)
     df = spark.createDataFrame(rows, SCHEMA)
     assert got(hard_negatives(df, F.col("vec_id") % 10 == 0)) == plain(rows, 10)
-    assert len(plans) == 4 and not any("Broadcast" in plan for plan in plans)
+    assert len(plans) == 4 and all("SortMergeJoin [shelf" in plan and "BroadcastHashJoin [shelf" not in plan for plan in plans)
+
+
+def test_an_anchor_travels_once_to_a_shelf_of_tiles(spark, small_tiles, monkeypatch):
+    monkeypatch.setattr(module, "TILE", 8)
+    monkeypatch.setattr(module, "SHELVES", 1)  # of each of four cores
+    sent, visited = [], module._visited
+
+    def watched(tiles, visits, *args):
+        sent.append((tiles.count(), visits.count()))
+        return visited(tiles, visits, *args)
+
+    monkeypatch.setattr(module, "_visited", watched)
+    rows = [(i, v, label) for i, (_, v, label) in enumerate(clustered(np.random.default_rng(8), 300, 16, spread=2.0))]
+    rows += [(400 + i, v[:3], label) for i, v, label in rows[:30]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(hard_negatives(df, F.col("vec_id") % 10 == 0)) == plain(rows, 10)
+    assert all(tiles > 20 and visits <= 4 * 33 for tiles, visits in sent)
 
 
 def test_a_hot_anchor_vector_is_spread(spark, small_tiles, monkeypatch):

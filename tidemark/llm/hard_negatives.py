@@ -9,9 +9,10 @@ box gives an interval of the inner products that its members can have with an an
 An anchor looks for what it needs, the best rows of its own label or the best ones of other
 labels in a window of scores, in its own tile first. What it finds there is a lower bound of its
 k-th best score, and it visits another tile only if that tile's interval reaches the window and
-the bound. In a tile, a queue gives the leaves by the upper ends of their intervals, some at a
+the bound. Tiles lie on shelves, and an anchor is sent once to a shelf for all that it visits there.
+In a tile, a queue gives the leaves by the upper ends of their intervals, some at a
 time; leaves outside the window or strictly below the k-th score are passed over, and the search
-ends when the queue is below all that is needed. Anchors travel packed, by tile, and only rows that can still
+ends when the queue is below all that is needed. Anchors travel packed, and only rows that can still
 be among the best ones return.
 """
 
@@ -36,7 +37,10 @@ TILE = 4_096  # entries that a tile is meant for; more where there would be over
 TILES = 1_024
 LEAF = 32  # entries of a leaf
 FIRST = 8  # leaves that are taken from the queue at first; then twice as many each time
-PACKS = 16  # rows that the anchors visiting one tile are packed into
+PACKS = 16  # rows that the anchors visiting one shelf are packed into
+SHELF = 1 << 17  # entries that the tiles of a shelf are meant for
+SHELVES = 4  # shelves for every core at least, while there are as many tiles
+RUN = 512  # anchors that are held against boxes at once
 HOT = 4_096  # anchors with one vector and label above which these are spread
 FAR = 1 << 62
 EXACT = float(1 << 53)  # whole numbers below this are exact in doubles
@@ -182,6 +186,10 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy().reshape(len(flat), -1)
 
 
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+
 def prepared(rows: DataFrame, anchors: Column, relabelled: Column | None = None) -> DataFrame:
     """``vec_id, label, vector, anchor, name1, name2`` of the rows that take part."""
     label = F.col("label") if relabelled is None else relabelled
@@ -310,22 +318,22 @@ def _tiled(entries: DataFrame) -> DataFrame:
     return packed.withColumn("number", F.xxhash64("width", "tile", "part"))
 
 
-def _boxes(tiles: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Every tile's number and corners; at most some thousand tiles."""
+def _boxes(tiles: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Every tile's number, count of entries and corners; at most some thousand tiles."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 values = _matrix(pa.chunked_array([batch.column("entries")[row].values.field("vector")]))
+                corners = [pa.array([c.tolist()], pa.list_(pa.int64())) for c in (values.min(0), values.max(0))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("number").slice(row, 1), pa.array([values.min(0).tolist()]), pa.array([values.max(0).tolist()])]
-                    if values.shape[1]
-                    else [batch.column("number").slice(row, 1), *[pa.array([[]], pa.list_(pa.int64()))] * 2],
-                    names=["number", "low", "high"],
+                    [batch.column("number").slice(row, 1), pa.array([len(values)], pa.int64()), *corners],
+                    names=["number", "held", "low", "high"],
                 )
 
-    found = tiles.select("number", "entries").mapInArrow(bound, "number long, low array<long>, high array<long>").collect()
-    return [(r.number, np.array(r.low, dtype=np.int64), np.array(r.high, dtype=np.int64)) for r in found]
+    found = tiles.select("number", "entries").mapInArrow(bound, "number long, held long, low array<long>, high array<long>").toArrow()
+    sides = [[np.array(c.values, dtype=np.int64) for c in found[side]] for side in ("low", "high")]
+    return list(zip(found["number"].to_pylist(), found["held"].to_pylist(), *sides, strict=True))
 
 
 def _asking(tiles: DataFrame) -> DataFrame:
@@ -336,7 +344,8 @@ def _asking(tiles: DataFrame) -> DataFrame:
 
 def _found(tiles: DataFrame, boxes: list, wanted: DataFrame, same: bool, k: int, name: list[str]) -> DataFrame:
     """``name1, name2, label, slot, score, id``: the k best rows of every need, over all tiles."""
-    own = written(_visited(tiles, wanted.withColumn("tile", F.col("number")), same, k), "own")
+    alone = wanted.withColumns({"shelf": F.col("number"), "tiles": F.array("number")})
+    own = written(_visited(tiles.withColumn("shelf", F.col("number")), alone, same, k), "own")
     kth = Window.partitionBy(*name, "slot").orderBy(F.desc("score"), "id")
     bounds = own.withColumn("place", F.row_number().over(kth)).where(F.col("place") == k)
     bounds = bounds.groupBy(*name).agg(F.map_from_entries(F.collect_list(F.struct("slot", "score"))).alias("kth"))
@@ -345,73 +354,86 @@ def _found(tiles: DataFrame, boxes: list, wanted: DataFrame, same: bool, k: int,
         lambda n: F.struct(n["slot"].alias("slot"), n["low"].alias("low"), n["high"].alias("high"), F.coalesce(F.col("kth")[n["slot"]], n["bound"]).alias("bound")),
     )
     wanted = wanted.join(bounds, name, "left").withColumn("needs", bounded).drop("kth")
-    sent = tiles.sparkSession.sparkContext.broadcast(boxes)
+    context = tiles.sparkSession.sparkContext
+    shelves = min(len(boxes), max(SHELVES * context.defaultParallelism, math.ceil(sum(b[1] for b in boxes) / SHELF)))
+    sent = context.broadcast(boxes)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        boxes = sent.value
         sides: dict[int, list] = {}
-        for number, low, high in boxes:
-            sides.setdefault(len(low), []).append((number, low, high))
-        shaped = {w: (np.array([s[0] for s in side]), np.array([s[1] for s in side]), np.array([s[2] for s in side])) for w, side in sides.items()}
+        for at, (number, _, low, high) in enumerate(sent.value):
+            sides.setdefault(len(low), []).append((number, at % shelves, low, high))
+        shaped = {w: tuple(np.array(c) for c in zip(*sorted(side, key=lambda s: s[1]), strict=True)) for w, side in sides.items()}
         for batch in batches:
-            home = batch.column("number").to_numpy()
             widths = pc.list_value_length(batch.column("vector")).to_numpy()
-            reached = [[]] * batch.num_rows
             for width in np.unique(widths).tolist():
-                mine = np.flatnonzero(widths == width)
-                part = batch.take(pa.array(mine))
-                vectors = _matrix(pa.chunked_array([part.column("vector")]))
-                numbers, low, high = shaped[width]
-                largest = max(float(np.abs(x).max(initial=0)) for x in (vectors, low, high))
-                kind = np.float64 if largest**2 * max(1, width) < EXACT / 2 else object
-                least, most = intervals(vectors.astype(kind), low.astype(kind), high.astype(kind))
-                needs = part.column("needs")
-                owner = np.repeat(np.arange(len(mine)), pc.list_value_length(needs).to_numpy())
-                need = {c: needs.flatten().field(c).to_numpy()[:, None] for c in ("low", "high", "bound")}
-                hit = (most[owner] >= np.maximum(need["low"], need["bound"])) & (least[owner] <= need["high"])
-                hit = np.logical_or.reduceat(hit, np.searchsorted(owner, np.arange(len(mine))))
-                hit &= numbers[None, :] != home[mine][:, None]
-                for i, row in zip(mine.tolist(), hit, strict=True):
-                    reached[i] = numbers[row].tolist()
-            yield batch.append_column("tiles", pa.array(reached, pa.list_(pa.int64())))
+                every = np.flatnonzero(widths == width)
+                numbers, shelf, low, high = shaped[width]
+                for mine in (every[at : at + RUN] for at in range(0, len(every), RUN)):
+                    part = batch.take(pa.array(mine))
+                    vectors = _matrix(pa.chunked_array([part.column("vector")]))
+                    largest = max(float(np.abs(x).max(initial=0)) for x in (vectors, low, high))
+                    kind = np.float64 if largest**2 * max(1, width) < EXACT / 2 else object
+                    least, most = intervals(vectors.astype(kind), low.astype(kind), high.astype(kind))
+                    needs = part.column("needs")
+                    owner = np.repeat(np.arange(len(mine)), pc.list_value_length(needs).to_numpy())
+                    need = {c: needs.flatten().field(c).to_numpy()[:, None] for c in ("low", "high", "bound")}
+                    hit = (most[owner] >= np.maximum(need["low"], need["bound"])) & (least[owner] <= need["high"])
+                    hit = np.logical_or.reduceat(hit, np.searchsorted(owner, np.arange(len(mine))))
+                    hit &= numbers[None, :] != part.column("number").to_numpy()[:, None]
+                    row, tile = np.nonzero(hit)  # by row, and there by shelf
+                    starts = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(shelf[tile], prepend=-1) != 0))
+                    there = _lists(np.append(starts, len(row)), pa.array(numbers[tile]))
+                    visits = pa.StructArray.from_arrays([pa.array(shelf[tile[starts]]), there], names=["shelf", "tiles"])
+                    yield part.append_column("visits", _lists(np.searchsorted(row[starts], np.arange(len(mine) + 1)), visits))
 
     chosen = wanted.select("number", *name, "vector", "needs")
-    chosen = written(chosen.mapInArrow(choose, StructType([*chosen.schema, StructField("tiles", ArrayType(LongType()))])), "chosen")
-    further = _visited(tiles, chosen.withColumn("tile", F.explode("tiles")).drop("tiles"), same, k)
+    visits = ArrayType(StructType([StructField("shelf", LongType()), StructField("tiles", ArrayType(LongType()))]))
+    chosen = written(chosen.mapInArrow(choose, StructType([*chosen.schema, StructField("visits", visits)])), "chosen")
+    chosen = chosen.withColumn("v", F.explode("visits")).select("number", *name, "vector", "needs", "v.*")
+    numbers = [(box[0], at % shelves) for at, box in enumerate(boxes)]
+    shelved = tiles.join(F.broadcast(tiles.sparkSession.createDataFrame(numbers, "number long, shelf long")), "number")
+    further = _visited(shelved, chosen, same, k)
     best = own.unionByName(further).withColumn("place", F.row_number().over(kth)).where(F.col("place") <= k)
     return written(best.drop("place"), "best")
 
 
 def _visited(tiles: DataFrame, visits: DataFrame, same: bool, k: int) -> DataFrame:
-    """What the visits ``(tile, anchor, needs)`` find in their tiles."""
+    """What the visits ``(shelf, anchor, needs, tiles)`` find in their tiles."""
     packs = visits.withColumn("pack", F.pmod(F.xxhash64("number"), F.lit(PACKS)).cast("int"))
-    packs = packs.groupBy("tile", "pack").agg(F.collect_list(F.struct("name1", "name2", "label", "vector", "needs")).alias("anchors"))
-    # Never broadcast: Spark would judge by the compressed files, before each anchor is repeated for its tiles.
-    met = packs.hint("merge").join(tiles.select(F.col("number").alias("tile"), "entries"), "tile").select("anchors", "entries")
+    packs = packs.groupBy("shelf", "pack").agg(F.collect_list(F.struct("name1", "name2", "label", "vector", "needs", "tiles")).alias("anchors"))
+    # Never broadcast: Spark would judge by the compressed files, before each anchor is repeated for its shelves.
+    met = packs.hint("merge").join(tiles.select("shelf", "number", "entries"), "shelf").select("anchors", "number", "entries")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 entries, anchors = batch.column("entries")[row].values, batch.column("anchors")[row].values
+                goals = anchors.field("tiles")
+                owner = np.repeat(np.arange(len(anchors)), pc.list_value_length(goals).to_numpy())
+                here = owner[goals.flatten().to_numpy() == batch.column("number")[row].as_py()]
+                if not len(here):
+                    continue
                 tree = Tree(
                     _matrix(pa.chunked_array([entries.field("vector")])),
                     entries.field("label").to_numpy(),
                     entries.field("held").to_pylist(),
                 )
-                found = list(
-                    tree.search(
-                        _matrix(pa.chunked_array([anchors.field("vector")])),
-                        anchors.field("label").to_numpy(),
-                        anchors.field("needs").to_pylist(),
-                        same,
-                        k,
+                for at in range(0, len(here), RUN):
+                    some = anchors.take(pa.array(here[at : at + RUN]))
+                    found = list(
+                        tree.search(
+                            _matrix(pa.chunked_array([some.field("vector")])),
+                            some.field("label").to_numpy(),
+                            some.field("needs").to_pylist(),
+                            same,
+                            k,
+                        )
+                    )
+                    taken = pa.array([f[0] for f in found], pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [some.field(c).take(taken) for c in ("name1", "name2", "label")]
+                        + [pa.array([f[c] for f in found], t) for c, t in ((1, pa.int32()), (2, pa.int64()), (3, pa.int64()))],
+                        names=["name1", "name2", "label", "slot", "score", "id"],
                     )
-                )
-                at = pa.array([f[0] for f in found], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [anchors.field(c).take(at) for c in ("name1", "name2", "label")]
-                    + [pa.array([f[c] for f in found], t) for c, t in ((1, pa.int32()), (2, pa.int64()), (3, pa.int64()))],
-                    names=["name1", "name2", "label", "slot", "score", "id"],
-                )
 
     return met.mapInArrow(search, "name1 long, name2 long, label long, slot int, score long, id long")
